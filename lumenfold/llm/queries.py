@@ -6,21 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenfold.llm.decontam import find_leaks
+from lumenfold.llm.gifmedia import encode_column, payload_digests
+from lumenfold.llm.langid import identify_languages
+from lumenfold.llm.mixing import mix_sources
 from lumenfold.llm.neardup import near_duplicates
 from lumenfold.llm.sharding import shard_rows
+from lumenfold.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload_digests(encode_column(_table(spark, sf_dir, "documents")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"), shards=40)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_minhash_near_dedup, op6_sharding)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_minhash_near_dedup, op4_gif_media, op5_toxicity, op6_sharding, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
