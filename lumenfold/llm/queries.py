@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumenfold.llm.decontam import find_leaks
 from lumenfold.llm.gifmedia import encode_column, payload_digests
 from lumenfold.llm.langid import identify_languages
 from lumenfold.llm.mixing import mix_sources
 from lumenfold.llm.neardup import near_duplicates
+from lumenfold.llm.pii import pseudonymise
+from lumenfold.llm.secretscan import find_secrets
 from lumenfold.llm.sharding import shard_rows
 from lumenfold.llm.toxicity import toxicity
+from lumenfold.llm.warc import page_records, resolve_revisits
+
+#: The key of the surrogates; production sets its own.
+PII_KEY = "surrogates-1"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +50,24 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second crawl of all pages finds none of them modified; headers is one line for each header, in order."""
+    found = resolve_revisits(page_records(_table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n")).withColumnRenamed("id", "page_id")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_minhash_near_dedup, op4_gif_media, op5_toxicity, op6_sharding, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_minhash_near_dedup, op4_gif_media, op5_toxicity, op6_sharding, op7_secret_scan, op8_pii_surrogates, op9_warc_revisits, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
