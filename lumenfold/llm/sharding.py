@@ -14,8 +14,8 @@ table gives an empty one. Other columns are not carried; join them by key, or us
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,26 +26,20 @@ from lumenfold.llm.common import Scratch
 CHUNK_ROWS, REPEATS = 20_000, 4096
 
 
-def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each 64-bit key."""
-    state, at, ahead = keys.astype(np.uint64), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-    live = np.arange(len(keys))
-    while len(live):
-        at[live] = ahead[live]
-        state[live] = state[live] * np.uint64(2862933555777941757) + np.uint64(1)
-        ahead[live] = ((at[live] + 1) * (float(1 << 31) / ((state[live] >> np.uint64(33)).astype(np.float64) + 1.0))).astype(np.int64)
-        live = live[ahead[live] < shards]
-    return at
-
-
 def shard_of(key: Column, shards: int) -> Column:
-    """The shard of a key of any type, null included."""
+    """The shard of a key of any type, null included.
+
+    The draws are hashes of the key and the step. The steps a key needs are the records among ``shards`` draws: ``shards`` at most, and
+    about ln(shards); beyond 64 + 16 log2(shards) with a probability under 1e-40."""
+    name, steps = key.cast("string"), min(shards, 64 + 16 * math.ceil(math.log2(max(2, shards))))
 
-    @F.pandas_udf("int")
-    def shard(keys: pd.Series) -> pd.Series:
-        return pd.Series(jump_hash(keys.to_numpy().view(np.uint64) if len(keys) else np.zeros(0, np.uint64), shards).astype(np.int32))
+    def step(state: Column, i: Column) -> Column:
+        draw = (F.shiftrightunsigned(F.xxhash64(name, i), 11) + 1) / float(1 << 53)
+        ahead = F.least(F.floor((state["ahead"] + 1) / draw), F.lit(shards)).cast("long")
+        return F.when(state["ahead"] < shards, F.struct(state["ahead"].alias("at"), ahead.alias("ahead"))).otherwise(state)
 
-    return shard(F.xxhash64(key.cast("string")))
+    zero = F.lit(0).cast("long")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(zero.alias("at"), zero.alias("ahead")), step)["at"].cast("int")
 
 
 def shard_rows(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
