@@ -1 +1,8 @@
+"""The registered queries, by subject."""
 
+
+def all_queries():
+    """The registry, with every module of queries read."""
+    from lumenfold.plans import benchmarks, registry  # noqa: F401
+
+    return registry
