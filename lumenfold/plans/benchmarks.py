@@ -149,10 +149,10 @@ def stats_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, 4).drop("cv").join(out.select("model_id", F.round("cv", 6).alias("cv")), "model_id")
 
 
-@query(with_tables(f"SELECT run_id, n, round(mean - half, 7) AS ci_low, round(mean + half, 7) AS ci_high FROM (SELECT run_id, count(*) AS n, avg(throughput) AS mean, CASE WHEN count(*) > 1 THEN {stats.t_critical_sql('(count(*) - 1)')} * stddev_samp(throughput) / sqrt(count(*)) ELSE 0 END AS half FROM results GROUP BY run_id)"))
+@query(with_tables(f"SELECT run_id, n, round(mean - half, 6) AS ci_low, round(mean + half, 6) AS ci_high FROM (SELECT run_id, count(*) AS n, avg(duration) AS mean, CASE WHEN count(*) > 1 THEN {stats.t_critical_sql('(count(*) - 1)')} * stddev_samp(duration) / sqrt(count(*)) ELSE 0 END AS half FROM results GROUP BY run_id)"))
 def stats_ci95(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low, high = stats.confidence_interval(F.col("throughput"))
-    return rounded(logical(spark, sf_dir, "results").groupBy("run_id").agg(F.count("*").alias("n"), low.alias("ci_low"), high.alias("ci_high")), 7)
+    low, high = stats.confidence_interval(F.col("duration"))
+    return rounded(logical(spark, sf_dir, "results").groupBy("run_id").agg(F.count("*").alias("n"), low.alias("ci_low"), high.alias("ci_high")), 6)
 
 
 @query(f"SELECT na, nb, round(ma, 4) AS ma, round(mb, 4) AS mb, round(t, 4) AS t, round(df, 2) AS df, CASE WHEN abs(t) < {stats.t_critical_sql('df')} THEN 0.10 WHEN abs(t) < 2.576 THEN 0.03 ELSE 0.005 END AS p, round(abs(ma - mb) / sqrt((va + vb) / 2), 6) AS effect FROM (SELECT *, (ma - mb) / sqrt(va / na + vb / nb) AS t, power(va / na + vb / nb, 2) / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)) AS df FROM (SELECT count(*) FILTER (WHERE l_returnflag = 'A') AS na, count(*) FILTER (WHERE l_returnflag = 'N') AS nb, avg(l_quantity) FILTER (WHERE l_returnflag = 'A') AS ma, avg(l_quantity) FILTER (WHERE l_returnflag = 'N') AS mb, var_samp(l_quantity) FILTER (WHERE l_returnflag = 'A') AS va, var_samp(l_quantity) FILTER (WHERE l_returnflag = 'N') AS vb FROM lineitem))")
