@@ -150,7 +150,7 @@ def repair_mojibake(text: pd.Series) -> pd.Series:
 
 def invisible_removed(text: Column, source: Column) -> Column:
     """Without zero-width and direction marks that the source does not hold."""
-    marks = "​‌‍‎‏⁠﻿"
+    marks = "\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
     return reduce(lambda t, m: F.when(F.contains(source, F.lit(m)), t).otherwise(F.translate(t, m, "")), marks, text)
 
 
