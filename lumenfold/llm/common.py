@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text that the numpy code works on at a time; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 18
 
 
 class Scratch:

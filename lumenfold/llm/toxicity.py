@@ -44,13 +44,17 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     stops = np.cumsum(_STOP[raw], dtype=np.int64)[begin]
     new = np.ones(len(begin), bool)
     new[1:] = (stops[1:] != stops[:-1]) | (text[1:] != text[:-1])
-    sentence = np.cumsum(new) - 1
-    hashes, owners = [word_hashes(raw, begin, end)], [sentence]
+    sentence = np.cumsum(new, dtype=np.int32) - 1
+    buckets, owners = [_bucket(word_hashes(raw, begin, end))], [sentence]
     for k in PREFIXES:
         long = np.flatnonzero(end - begin > k)
-        hashes.append(word_hashes(raw, begin[long], begin[long] + k) ^ np.uint64(k << 56))
+        buckets.append(_bucket(word_hashes(raw, begin[long], begin[long] + k) ^ np.uint64(k << 56)))
         owners.append(sentence[long])
-    return (np.concatenate(hashes) >> np.uint64(64 - DIM_BITS)).astype(np.int64), np.concatenate(owners), text[new]
+    return np.concatenate(buckets), np.concatenate(owners), text[new]
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - DIM_BITS)).astype(np.int32)
 
 
 def _softplus(x: np.ndarray) -> np.ndarray:
