@@ -5,9 +5,10 @@
    permutation, so slots are correlated and estimates vary less than with independent hashes. A text is done when all its slots
    hold a rank no later one can undercut.
 3. Classes with an equal band of the signature meet in a bucket. A bucket never gives all its pairs: its members are first held
-   against one leader, the member that meets most others over all its bands (in a family of edited copies that is the original,
-   which shares every band), then against a random leader, and only members that still lie in different groups, and whose sizes
-   allow the similarity, are held against each other. Within a group, more links cannot change the result.
+   against its hub, the member that meets most others over all its bands (in a family of edited copies that is the original, which
+   shares every band). Members that then lie in one group need no more: more links cannot change the result. Of the others, those
+   of a bucket of ``SMALL`` at most are held against each other if their sizes allow the similarity; in larger buckets, only those
+   are that share enough of what sets them apart from the hub (see ``_by_difference``), which loses no link either.
 4. Every link is confirmed on the full sets. Union-find within partitions, then star contraction between them, gives the groups.
 
 With 32 bands of 6 slots a pair of similarity 0.85 fails to meet with a probability of 3e-7. Sets hold 64-bit hashes of shingles.
@@ -25,12 +26,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.llm.common import Scratch, mix, pieces, shingle_sets, text_arrays
+from lumenfold.llm.common import Scratch, lean, mix, pieces, shingle_sets, text_arrays
 
 BANDS, ROWS, WIDTH = 32, 6, 5
+#: Members of a bucket whose pairs may be held against each other directly; larger buckets go by their difference from the hub.
+SMALL = 32
+#: Steps from hub to heavier hub; more would only join more groups of members into one.
+JUMPS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Shingles whose permutations are held in memory at a time.
-_ELEMENTS = 1 << 18
+_ELEMENTS = 1 << 17
 
 
 def superminhash(elements: np.ndarray, offsets: np.ndarray, slots: int = BANDS * ROWS) -> np.ndarray:
@@ -123,7 +128,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
     Stars of each partition's own union-find, then alternating large-star and small-star steps until nothing changes; each step
     keeps at most as many rows as there are links, and sends a node's links only to their least node."""
-    edges = scratch.put(f"{name}-0", links.select("a", "b").mapInArrow(_forest, "a binary, b binary"))
+    edges = scratch.put(f"{name}-0", links.select("a", "b").mapInArrow(lean(_forest), "a binary, b binary"))
     step, seen = 0, None
     while True:
         # large star: a node's larger neighbours move to its least neighbour
@@ -153,7 +158,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     Texts are linked if 100 * |A and B| >= percent * |A or B| for their shingle sets."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "neardup")
-    profiles = scratch.put("profiles", docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(lambda b: _profiles(b, width), f"id {docs.schema[key].dataType.simpleString()}, n long, node binary, bands array<long>"))
+    profiles = scratch.put("profiles", docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(lean(lambda b: _profiles(b, width)), f"id {docs.schema[key].dataType.simpleString()}, n long, node binary, bands array<long>"))
     classes = profiles.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     slots = scratch.put("slots", classes.select("node", "n", F.explode("bands").alias("bucket")))
     shared = slots.groupBy("bucket").agg(F.count("*").alias("met")).filter("met > 1")
@@ -179,9 +184,9 @@ def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scra
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     if profiles.filter("id is null").isEmpty() and profiles.groupBy("id").count().filter("count > 1").isEmpty():
         texts = texts.join(rows, "id").select("node", "text")
-        sets = texts.mapInArrow(lambda b: _sets(b, width), "node binary, elements array<long>")
+        sets = texts.mapInArrow(lean(lambda b: _sets(b, width)), "node binary, elements array<long>")
     else:  # ids that repeat or are null do not name a text: compute the sets of all rows, with their class
-        sets = texts.select("id", "text").mapInArrow(lambda b: _named_sets(b, width), "node binary, elements array<long>").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
+        sets = texts.select("id", "text").mapInArrow(lean(lambda b: _named_sets(b, width)), "node binary, elements array<long>").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
     sets = scratch.put("sets", sets)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -192,28 +197,33 @@ def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scra
     def fits(n: Column, m: Column) -> Column:
         return _same(F.least(n, m), F.greatest(n, m), percent)
 
+    # every member against the one of its bucket that meets most others
     weight = met.groupBy("node").agg(F.sum("met").alias("weight"))
-    links, tried, roots = None, None, None
-    for turn in ("hub", "random"):
-        if roots is None:
-            members = met.join(weight, "node").withColumn("root", F.col("node")).withColumn("rank", F.col("weight"))
-        else:
-            members = _open(met, roots).withColumn("rank", F.hash("node", "bucket").cast("long"))
-        lead = members.groupBy("bucket").agg(F.max(F.struct("rank", "node", "n", "root")).alias("lead"))
-        pairs = members.join(lead, "bucket").filter((F.col("root") != F.col("lead.root")) & fits(F.col("n"), F.col("lead.n")))
-        pairs = pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.put(f"pairs-{turn}", pairs)
-        tried = pairs if tried is None else tried.union(pairs)
-        new = scratch.put(f"links-{turn}", confirmed(pairs))
-        links = new if links is None else links.union(new)
-        roots = components(links, scratch, f"roots-{turn}")
+    lead = met.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
+    lead = scratch.put("lead", lead.select("bucket", F.col("lead.node").alias("hub"), F.col("lead.n").alias("m"), F.col("lead.weight").alias("weight")))
+    held = met.join(lead, "bucket").filter("node <> hub")
+    tried = held.filter(fits(F.col("n"), F.col("m"))).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    tried = scratch.put("tried", tried)
+    links = scratch.put("links-hub", confirmed(tried))
+    roots = components(links, scratch, "roots-hub")
     rest = _open(met, roots)
     if not rest.isEmpty():
         rest = scratch.put("open", rest)
-        left, right = rest.select("bucket", F.col("node").alias("a"), F.col("n").alias("n"), F.col("root").alias("root")), rest.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-        pairs = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m"))).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        small = rest.filter(F.col("met") <= SMALL)
+        left, right = small.select("bucket", F.col("node").alias("a"), "n", "root"), small.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+        pairs = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m"))).select("a", "b")
+        large = rest.filter(F.col("met") > SMALL).join(lead.select("bucket", "hub", "weight"), "bucket")
+        if not large.isEmpty():
+            # a member's top is the heaviest hub that it meets, or that this hub meets; a bucket whose members have one top is covered there
+            top = large.groupBy("node").agg(F.max(F.struct("weight", "hub")).alias("top")).select("node", F.col("top.hub").alias("top"))
+            for jump in range(JUMPS):
+                top = scratch.put(f"top-{jump}", top)
+                top = top.join(top.select(F.col("node").alias("top"), F.col("top").alias("above")), "top", "left").select("node", F.coalesce("above", "top").alias("top"))
+            top = scratch.put("top", top)
+            covered = large.select("bucket", "node").join(top, "node").groupBy("bucket").agg(F.min("top").alias("p"), F.max("top").alias("q")).filter("p = q").select("bucket", F.col("p").alias("top"))
+            large = large.join(covered, "bucket", "left").withColumn("hub", F.coalesce("top", "hub")).filter("node <> hub").select("hub", "node", "root").distinct()
+            pairs = pairs.union(_by_difference(large, sets, scratch, percent / 100))
+        pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
         links = links.union(scratch.put("links-rest", confirmed(pairs)))
         roots = components(links, scratch, "roots-rest")
     scratch.drop("sets")
@@ -224,7 +234,49 @@ def _open(met: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that still hold more than one group, with their roots."""
     known = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = known.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("bucket")
-    return known.join(split, "bucket", "left_semi").select("bucket", "node", "n", "root")
+    return known.join(split, "bucket", "left_semi").select("bucket", "node", "n", "root", "met")
+
+
+def _by_difference(members: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """Pairs (a, b) of members of one hub and of two groups that may be linked, from what sets them apart from the hub.
+
+    Let X be x's symmetric difference with the hub, Y y's. Linked sets differ in q * (|x| + |y|) elements at most, where
+    q = (1 - share) / (1 + share), and x and y differ in |X| + |Y| - 2 |X and Y| elements. So X and Y share at least
+    t = (|X| + |Y| - q * (|x| + |y|)) / 2 elements; of those of X, in any common order, one is among the first |X| - t + 1, likewise
+    for Y. In the order used, what a member has and the hub has not comes first. In a family of edited copies that is each copy's own,
+    shared with none, and for members of about one size the prefix is no longer than that, so copies that are not linked do not meet.
+    A pair of which both are linked with the hub is in one group already; of other pairs, t is at least 1. As t depends on both sizes,
+    what the hub has and a member has not is only met under equal classes of both sizes, as far as the prefix for these reaches."""
+    q = (1 - share) / (1 + share)
+    one, hub = sets.select("node", F.col("elements").alias("x")), sets.select(F.col("node").alias("hub"), F.col("elements").alias("h"))
+    apart = members.join(one, "node").join(hub, "hub")
+    apart = apart.select("hub", "node", "root", F.size("x").alias("n"), F.size("h").alias("m"), F.array_sort(F.array_except("x", "h")).alias("more"), F.array_sort(F.array_except("h", "x")).alias("less"))
+    apart = apart.withColumn("own", F.size("more")).withColumn("size", F.col("own") + F.size("less")).filter("size > 0")
+    apart = apart.withColumn("linked", F.col("size") <= q * (F.col("n") + F.col("m")) + 1e-6)
+
+    def class_of(size: Column) -> Column:
+        return F.floor(2 * F.log2(size) + 1e-9).cast("int")
+
+    def keep(c: Column) -> Column:
+        """The length of the prefix for members of a class of sizes."""
+        lower, upper = F.floor(F.pow(F.lit(2.0), c / 2) + 1e-9), F.ceil(F.pow(F.lit(2.0), (c + 1) / 2))
+        t = F.ceil((F.col("size") + lower - q * (F.col("n") + F.least(F.col("m") + upper, F.col("n") / share))) / 2 - 1e-6)
+        return F.least(F.col("size") - F.greatest(t, F.lit(1)) + 1, F.col("size")).cast("int")
+
+    def cells(part: str, length: Column, first: Column, own: Column, other: Column) -> Column:
+        return F.transform(F.slice(part, 1, F.greatest(length, F.lit(0))), lambda e, i: F.struct(e.alias("e"), (i + 1 + first).alias("place"), own.alias("own_class"), other.alias("other_class")))
+
+    most = q * (F.col("n") + F.col("n") / share)  # the most elements in which a linked set differs from one of n
+    low, high, none = class_of(F.greatest(F.col("size") - most, F.lit(1.0))), class_of(F.col("size") + most), F.lit(-1)
+    met = F.flatten(F.transform(F.sequence(low, high), lambda c: cells("less", keep(c) - F.col("own"), F.col("own"), class_of(F.col("size")), c)))
+    met = F.concat(cells("more", keep(low), F.lit(0), none, none), met)
+    each = apart.select("hub", "node", "root", "n", "size", "linked", F.explode(met).alias("c")).select("hub", "node", "root", "n", "size", "linked", "c.*")
+    each = scratch.put("each", each)
+    right = each.select("hub", "e", F.col("own_class").alias("other_class"), F.col("other_class").alias("own_class"), F.col("node").alias("y"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+    t = F.greatest(F.ceil((F.col("size") + F.col("other_size") - q * (F.col("n") + F.col("m"))) / 2 - 1e-6), F.lit(1))
+    both = each.filter("not linked").join(right, ["hub", "e", "own_class", "other_class"])
+    both = both.filter((F.col("node") != F.col("y")) & (F.col("root") != F.col("other")) & (F.col("place") <= F.col("size") - t + 1) & (F.col("other_place") <= F.col("other_size") - t + 1))
+    return both.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
 
 
 def _named_sets(batches: Iterator, width: int) -> Iterator:
