@@ -34,7 +34,22 @@ PHONE = r"\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 MALE, FEMALE, EITHER = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "Κύριος"), ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Госпожа", "Κυρία"), ("Dr", "Prof", "Доктор")
 NAME = rf"(?<![\p{{L}}\d])(?:{'|'.join(sorted(MALE + FEMALE + EITHER, key=len, reverse=True))})(?:\. |\.| )\p{{Lu}}\p{{Ll}}{{1,40}}(?: \p{{Lu}}\p{{Ll}}{{1,40}})?(?!\p{{L}})"
-ANY = "|".join(p.replace(r"([ -])", r"(?<gap>[ -])").replace(r"\1", r"\k<gap>") for p in (EMAIL, NAME, IBAN, PHONE, IPV4, CARD, SSN))
+STARTS = "".join(sorted({t[0] for t in MALE + FEMALE + EITHER}))
+
+
+def _any(*patterns: str) -> str:
+    """One of the patterns; what may begin a match is looked at first, so that most places fail at once."""
+    digits = "|".join(p for p in (PHONE, IPV4, CARD, SSN) if p in patterns)
+    parts = [EMAIL] * (EMAIL in patterns) + [f"(?=[{STARTS}]){NAME}"] + [f"(?=[A-Z]){IBAN}"] * (IBAN in patterns) + [f"(?=[0-9+(])(?:{digits})"] * bool(digits)
+    return "|".join(parts).replace(r"([ -])", r"(?<gap>[ -])").replace(r"\1", r"\k<gap>")
+
+
+#: What a text can hold by the characters in it: with an at sign, with digits, with neither.
+ANY, NO_AT, ONLY_NAMES = _any(EMAIL, IBAN, PHONE, IPV4, CARD, SSN), _any(IBAN, PHONE, IPV4, CARD, SSN), _any()
+#: A private-use character that marks matches.
+MARK = "\ue000"
+#: Entities beyond their first attempt of so many documents are sent to all tasks; more are joined.
+SMALL = 50_000
 #: Given names by gender; surnames and other scripts come from syllables.
 GIVEN = {"m": ("Adam", "Bruno", "Carl", "David", "Erik", "Felix", "Georg", "Henry", "Ivan", "Jonas", "Karl", "Lukas", "Martin", "Nils", "Oscar", "Peter"), "f": ("Alice", "Berta", "Clara", "Diana", "Emma", "Frida", "Greta", "Helena", "Irene", "Julia", "Klara", "Laura", "Maria", "Nora", "Olivia", "Paula")}
 SYLLABLES = {"latin": ("ba", "de", "fo", "gu", "ki", "la", "me", "no", "pu", "ri", "sa", "te", "vo", "wu", "zi", "ha"), "cyrillic": ("ба", "де", "фо", "гу", "ки", "ла", "ме", "но", "пу", "ри", "са", "те", "во", "жу", "зи", "ха"), "greek": ("βα", "δε", "φο", "γυ", "κι", "λα", "με", "νο", "πυ", "ρι", "σα", "τε", "βο", "θυ", "ζι", "χα")}
@@ -69,9 +84,21 @@ def canonical(kind: Column, raw: Column) -> Column:
     return F.when(kind == "email", F.lower(raw)).when(kind == "ipv4", raw).when(kind == "iban", F.regexp_replace(raw, " ", "")).when(kind == "name", name).otherwise(F.regexp_replace(raw, "[^0-9]", ""))
 
 
-def entities_of(text: Column) -> Column:
-    """An array of (kind, raw, canon) of a text's entities, in order, also those that repeat."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda r: F.struct(kind_of(r).alias("kind"), r.alias("raw")))
+def pieces_of(text: Column) -> Column:
+    """A text cut at its matches: what is at odd places (from 0) is a match. One pass of one pattern."""
+    def cut(pattern: str) -> Column:
+        marked = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        apart = F.array_compact(F.flatten(F.transform(F.split(text, pattern, -1), lambda p, i: F.array(p, F.get(found, i)))))
+        return F.when(F.contains(text, F.lit(MARK)), apart).otherwise(marked)
+
+    return F.when(F.contains(text, F.lit("@")), cut(ANY)).when(text.rlike("[0-9]"), cut(NO_AT)).otherwise(cut(ONLY_NAMES))
+
+
+def entities_of(pieces: Column) -> Column:
+    """An array of (kind, raw, canon) of a text's entities, in order, also those that repeat; kind is null if a match fails its check."""
+    raws = F.filter(pieces, lambda p, i: i % 2 == 1)
+    found = F.transform(raws, lambda r: F.struct(kind_of(r).alias("kind"), r.alias("raw")))
     return F.transform(found, lambda x: F.struct(x["kind"].alias("kind"), x["raw"].alias("raw"), canonical(x["kind"], x["raw"]).alias("canon")))
 
 
@@ -163,19 +190,20 @@ def pseudonymise(docs: DataFrame, secret: str, key: str = "doc_id", text: str =
     """(key, text, entities) and the columns named in ``keep``: entities is an array of (kind, surrogate) in the text's order."""
     scratch = Scratch(docs.sparkSession, "pii")
     read = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"), *keep)
-    found = read.select(F.explode(entities_of(F.col("__text"))).alias("e")).select("e.*").filter("kind is not null")
+    found = read.select("__id", F.explode(entities_of(pieces_of(F.col("__text")))).alias("e")).select("__id", "e.*").filter("kind is not null")
+    found = scratch.put("found", found)
     more = attempts(found, secret, scratch)
-    rows = read.withColumn("__found", entities_of(F.col("__text")))
+    rows = read.withColumn("__pieces", pieces_of(F.col("__text"))).withColumn("__found", entities_of(F.col("__pieces")))
     if more is None:
         attempt = lambda e: F.lit(0)
     else:
-        own = read.select("__id", F.explode(entities_of(F.col("__text"))).alias("e")).select("__id", F.col("e.kind").alias("kind"), F.col("e.canon").alias("canon")).distinct()
-        own = own.join(more, ["kind", "canon"]).groupBy(F.col("__id").alias("__own")).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x00", "kind", "canon"), "attempt"))).alias("__more"))
+        own = found.select("__id", "kind", "canon").distinct().join(more, ["kind", "canon"])
+        own = own.groupBy(F.col("__id").alias("__own")).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x00", "kind", "canon"), "attempt"))).alias("__more"))
+        own = scratch.put("own", own)
+        own = F.broadcast(own) if own.count() <= SMALL else own
         rows = rows.join(own, F.col("__id").eqNullSafe(F.col("__own")), "left")
         attempt = lambda e: F.coalesce(F.element_at("__more", F.concat_ws("\x00", e["kind"], e["canon"])), F.lit(0))
     made = F.transform("__found", lambda e: F.struct(e["kind"].alias("kind"), F.when(e["kind"].isNull(), e["raw"]).otherwise(surrogate(e["kind"], e["raw"], e["canon"], attempt(e), secret)).alias("surrogate")))
     rows = rows.withColumn("__made", F.when(F.size("__found") > 0, made).otherwise(F.array().cast("array<struct<kind:string,surrogate:string>>")))
-    # the pieces between the matches, and after each its surrogate
-    pieces = F.split("__text", ANY, -1)
-    filled = F.array_join(F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get("__made", i)["surrogate"], F.lit(""))))), "")
+    filled = F.array_join(F.transform("__pieces", lambda p, i: F.when(i % 2 == 1, F.get("__made", F.floor(i / 2).cast("int"))["surrogate"]).otherwise(p)), "")
     return rows.select(F.col("__id").alias(key), F.when(F.size("__found") > 0, filled).otherwise(F.col("__text")).alias(text), F.filter("__made", lambda m: m["kind"].isNotNull()).alias("entities"), *keep)
