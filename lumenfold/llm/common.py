@@ -52,6 +52,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return "file:///tmp/checkpoints"
 
 
+def release() -> None:
+    """Gives freed memory back to the system, which allocators else keep for a process that may live long."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(work):
+    """A function over batches that leaves no freed memory behind in a worker, which other stages' tasks then use."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def crc_of_id(key: str | Column = "doc_id") -> Column:
     """crc32 of an id as text; null for a null id."""
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"))

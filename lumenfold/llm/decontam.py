@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenfold.llm.common import lean
+
 RATE, BLOCK = 0.08, 4_000_000
 _TABLE: list[np.ndarray] = []
 
@@ -188,7 +190,7 @@ def _searched(part: list[tuple[object, str]], rate: float, kind, item_kind):
                 keys = batch.column(0).take(pa.array(at)).cast(kinds[0])
                 yield pa.RecordBatch.from_arrays([keys, pa.array([matcher.keys[i] for i in which], kinds[1]), *(pa.array(x, pa.int32()) for x in rest)], ["key", "item", "distance", "begin", "end", "budget"])
 
-    return searched
+    return lean(searched)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:

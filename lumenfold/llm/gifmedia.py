@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenfold.llm.common import lean
+
 LINE, LINES = 64, 65_535
 _GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 #: Literal codes between two clear codes: the most that leave the width at 9 bits.
@@ -316,7 +318,7 @@ def encode_column(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raws), pa.int64()), pa.array([encode(pad(x)) for x in raws], pa.binary())], ["key", "n_bytes", "media"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(encoded, f"key {kind}, n_bytes long, media binary").withColumnRenamed("key", key)
+    return docs.select(key, text).mapInArrow(lean(encoded), f"key {kind}, n_bytes long, media binary").withColumnRenamed("key", key)
 
 
 def decode_frames(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
@@ -355,7 +357,7 @@ def decode_frames(media: DataFrame, key: str = "doc_id", column: str = "media")
         own = keys.take(pa.array([k] * len(rows)))
         return pa.RecordBatch.from_arrays([own, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["key", *names, "canvas", "histogram", "error"])
 
-    return media.select(key, column).mapInArrow(frames, schema).withColumnRenamed("key", key)
+    return media.select(key, column).mapInArrow(lean(frames), schema).withColumnRenamed("key", key)
 
 
 def payload_digests(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
@@ -384,4 +386,4 @@ def payload_digests(media: DataFrame, key: str = "doc_id", column: str = "media"
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return media.select(key, column, F.col("n_bytes")).mapInArrow(digests, f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").withColumnRenamed("key", key)
+    return media.select(key, column, F.col("n_bytes")).mapInArrow(lean(digests), f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").withColumnRenamed("key", key)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.llm.common import crc_of_id
+from lumenfold.llm.common import crc_of_id, lean
 
 DIM_BITS, SAMPLE = 15, 4000
 DIM = 1 << DIM_BITS
@@ -154,7 +154,7 @@ def train(docs: DataFrame, learnable: Column, key: str = "doc_id", text: str = "
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, DIM).astype(np.int32)), pa.array(np.append(total[at], rows))], ["bucket", "n"])
 
     df = np.zeros(DIM + 1, np.int64)
-    for bucket, n in rows.select("text").mapInArrow(frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():  # DIM + 1 rows at most
+    for bucket, n in rows.select("text").mapInArrow(lean(frequencies), "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():  # DIM + 1 rows at most
         df[bucket] = n
     idf = np.log((1.0 + df[DIM]) / (1.0 + df[:DIM])) + 1.0
     ids = rows.select("key", F.crc32(F.concat(F.col("key").cast("string"), F.lit("|sample"))).alias("draw")).distinct().orderBy("draw", "key").limit(sample).select("key")
@@ -167,7 +167,7 @@ def train(docs: DataFrame, learnable: Column, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([c[a].astype(np.uint32).tobytes() for c, a in zip(got, at, strict=True)], pa.binary())], ["key", "lang", "at", "n"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = drawn.mapInArrow(vectors, f"key {kind}, lang string, at binary, n binary").toArrow().to_pydict()
+    got = drawn.mapInArrow(lean(vectors), f"key {kind}, lang string, at binary, n binary").toArrow().to_pydict()
     order = sorted(range(len(got["key"])), key=lambda i: (str(got["key"][i]), got["at"][i], got["n"][i], got["lang"][i]))[:sample]
     languages = sorted({got["lang"][i] for i in order})
     if not languages:
@@ -198,7 +198,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             got = [model.predict(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], ["key", "lang_pred", "score"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(predicted, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lean(predicted), f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
 def identify_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5, sample: int = SAMPLE) -> DataFrame:

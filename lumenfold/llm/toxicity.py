@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.llm.common import _FOLD, crc_of_id, pieces, text_arrays, word_hashes, word_spans
+from lumenfold.llm.common import _FOLD, crc_of_id, lean, pieces, release, text_arrays, word_hashes, word_spans
 
 DIM_BITS, SAMPLE, THRESHOLD, WORDS_IN, EXCESS, BIAS = 18, 4000, 0.3, 8, 5.0, -8.0
 #: Lengths in bytes of the words' beginnings that are features besides the words.
@@ -149,7 +149,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = rows.groupBy("text").agg(F.max("label").alias("label"), F.min(draw).alias("draw")).toArrow().to_pydict()
     order = sorted(range(len(rows["text"])), key=lambda i: (rows["draw"][i], rows["text"][i]))
     share = count.get(1, 0) / max(1, count.get(0, 0) + count.get(1, 0))
-    return fit([rows["text"][i] for i in order], np.array([rows["label"][i] for i in order], np.int64), share)
+    model = fit([rows["text"][i] for i in order], np.array([rows["label"][i] for i in order], np.int64), share)
+    del rows
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,7 +167,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             got = [model.scores(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in pieces(offsets)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(got) if got else np.zeros(0))], ["key", "score"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(scored, f"key {kind}, score double").withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lean(scored), f"key {kind}, score double").withColumnRenamed("key", key)
 
 
 def locate(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", least: float = THRESHOLD) -> DataFrame:
@@ -181,7 +184,7 @@ def locate(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
                     a, b, s = zip(*got, strict=True)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([k] * len(got))), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(s, pa.float64()), pa.array([t[x:y] for x, y in zip(a, b, strict=True)], pa.string())], ["key", "begin", "end", "score", "sentence"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(located, f"key {kind}, begin int, end int, score double, sentence string").withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lean(located), f"key {kind}, begin int, end int, score double, sentence string").withColumnRenamed("key", key)
 
 
 def _held_out(key: str, folds: int, fold: int) -> Column:
@@ -208,4 +211,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             got = [model.scores(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in pieces(offsets)]
             yield batch.filter(pa.array((np.concatenate(got) if got else np.zeros(0)) < threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(lean(kept), docs.schema)
