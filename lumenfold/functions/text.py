@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 #: Letters of each script as a character class.
 SCRIPTS = {
@@ -24,7 +25,7 @@ SCRIPTS = {
 SCRIPT_OF = {"ar": "arabic", "fa": "arabic", "ur": "arabic", "ru": "cyrillic", "uk": "cyrillic", "bg": "cyrillic", "sr": "cyrillic", "he": "hebrew", "zh": "chinese", "ja": "japanese", "ko": "korean", "hi": "devanagari", "th": "thai"}
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode normal form C, which the JVM's functions lack; only for text that is not ASCII, see ``normalise``."""
     import unicodedata
@@ -32,6 +33,11 @@ def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), where value is computed once for each row however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
@@ -127,7 +133,7 @@ def unit_fingerprint(kind: Column, text: Column) -> Column:
     return F.concat_ws(":", kind, F.substring(F.sha2(text, 256), 1, 16), F.length(text).cast("string"))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp's similarity, which the JVM has not."""
     from difflib import SequenceMatcher
@@ -135,7 +141,7 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x.strip(), y.strip()).ratio() for x, y in zip(a, b, strict=True)])
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def repair_mojibake(text: pd.Series) -> pd.Series:
     """Text whose UTF-8 was read as Windows-1252, read again; as it is where that does not work."""
 

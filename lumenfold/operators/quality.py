@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.functions.text import SCRIPT_OF, SCRIPTS, largest_count, letters, ngrams, ratio, tokens
+from lumenfold.functions.text import SCRIPT_OF, SCRIPTS, largest_count, let, letters, ngrams, ratio, tokens
 
 ISSUES = "array<struct<validator:string,severity:string,message:string>>"
 Check = Callable[[Column, Column], Column]
@@ -127,16 +127,18 @@ def script_mixing(t: Column, lang: str, most: float = 0.06) -> Column:
 
 def repetition(s: Column, t: Column) -> Column:
     """A run of three words occurs more often than the source's own runs allow."""
-    words, own = tokens(t), tokens(s)
-    ceiling = F.when(F.size(own) >= 30, largest_count(ngrams(own, 3))).otherwise(0)
-    n = largest_count(ngrams(words, 3))
-    high, low = F.greatest(F.lit(3), F.floor(1.5 * ceiling).cast("int") + 1), F.greatest(F.lit(2), F.floor(1.2 * ceiling).cast("int") + 1)
-    return issues(issue("Repetition", "ERROR", "repeated words", n >= high), issue("Repetition", "WARNING", "repeated words", (n >= low) & (n < high)))
+    most = lambda text, least: let(tokens(text), lambda w: F.when(F.size(w) >= least, largest_count(ngrams(w, 3))).otherwise(0))
+
+    def judged(x: Column) -> Column:
+        high, low = F.greatest(F.lit(3), F.floor(1.5 * x["ceiling"]).cast("int") + 1), F.greatest(F.lit(2), F.floor(1.2 * x["ceiling"]).cast("int") + 1)
+        return issues(issue("Repetition", "ERROR", "repeated words", x["n"] >= high), issue("Repetition", "WARNING", "repeated words", (x["n"] >= low) & (x["n"] < high)))
+
+    return let(F.struct(most(t, 3).alias("n"), most(s, 30).alias("ceiling")), judged)
 
 
 def sentence_duplication(t: Column) -> Column:
     parts = F.filter(F.transform(F.split(t, r"[.!?]+\s+"), lambda x: F.lower(F.trim(x))), lambda x: F.length(x) > 5)
-    return issues(issue("Repetition", "WARNING", "repeated sentence", F.size(parts) > F.size(F.array_distinct(parts))))
+    return let(parts, lambda p: issues(issue("Repetition", "WARNING", "repeated sentence", F.size(p) > F.size(F.array_distinct(p)))))
 
 
 def heading_repetition(t: Column, most: int = 4) -> Column:
@@ -149,22 +151,30 @@ def multiset_differs(a: Column, b: Column) -> Column:
 
 
 def placeholders(s: Column, t: Column) -> Column:
-    a, b = (F.regexp_extract_all(x, F.lit(r"(\{[A-Z][A-Z_]*_\d+\})")) for x in (s, t))
-    return issues(issue("Placeholder", "ERROR", "missing placeholder", F.size(F.array_except(a, b)) > 0), issue("Placeholder", "ERROR", "extra placeholder", F.size(F.array_except(b, a)) > 0), issue("Placeholder", "WARNING", "other order or number", (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0) & (a != b)))
+    found = F.struct(*(F.regexp_extract_all(x, F.lit(r"(\{[A-Z][A-Z_]*_\d+\})")).alias(n) for n, x in (("a", s), ("b", t))))
+
+    def judged(x: Column) -> Column:
+        lost, new = F.size(F.array_except(x["a"], x["b"])) > 0, F.size(F.array_except(x["b"], x["a"])) > 0
+        return issues(issue("Placeholder", "ERROR", "missing placeholder", lost), issue("Placeholder", "ERROR", "extra placeholder", new), issue("Placeholder", "WARNING", "other order or number", ~lost & ~new & (x["a"] != x["b"])))
+
+    return let(found, judged)
 
 
 def link_check(s: Column, t: Column) -> Column:
-    a, b = urls(s), urls(t)
-    return issues(issue("Link", "ERROR", "number of links", F.size(a) != F.size(b)), issue("Link", "ERROR", "missing address", F.size(F.array_except(a, b)) > 0), issue("Link", "WARNING", "new address", F.size(F.array_except(b, a)) > 0))
+    return let(F.struct(urls(s).alias("a"), urls(t).alias("b")), lambda x: issues(issue("Link", "ERROR", "number of links", F.size(x["a"]) != F.size(x["b"])), issue("Link", "ERROR", "missing address", F.size(F.array_except(x["a"], x["b"])) > 0), issue("Link", "WARNING", "new address", F.size(F.array_except(x["b"], x["a"])) > 0)))
 
 
 def structure(s: Column, t: Column) -> Column:
     far = lambda p, most: F.abs(count(s, p) - count(t, p)) > most
-    levels = lambda x: F.transform(F.regexp_extract_all(x, F.lit(r"(?m)^(#{1,6}) ")), lambda h: F.length(h))
-    blocks = F.size(fences(s)), F.size(fences(t))
-    drift = F.when(blocks[0] >= 10, F.greatest(F.lit(2), F.floor(blocks[0] * 0.05).cast("int"))).otherwise(0)
-    changed = F.exists(F.arrays_zip(fences(s).alias("a"), fences(t).alias("b")), lambda p: p["a"] != p["b"])
-    return issues(issue("Structure", "ERROR", "number of headings", far(HEADING, 0)), issue("Structure", "WARNING", "heading levels", (count(s, HEADING) == count(t, HEADING)) & (levels(s) != levels(t))), issue("Structure", "WARNING", "list items", far(ITEM, 2)), issue("Structure", "ERROR", "code block count", F.abs(blocks[0] - blocks[1]) > drift), issue("Structure", "ERROR", "code block changed", (blocks[0] == blocks[1]) & changed), issue("Structure", "ERROR", "links and images", far(LINK, 0)), issue("Structure", "WARNING", "bold", far(r"\*\*[^*\n]+\*\*", 2)))
+    heads = lambda x: F.transform(F.regexp_extract_all(x, F.lit(r"(?m)^(#{1,6}) ")), lambda h: F.length(h))
+
+    def judged(x: Column) -> Column:
+        n, m = F.size(x["a"]), F.size(x["b"])
+        drift = F.when(n >= 10, F.greatest(F.lit(2), F.floor(n * 0.05).cast("int"))).otherwise(0)
+        same_heads = F.size(x["h"]) == F.size(x["g"])
+        return issues(issue("Structure", "ERROR", "number of headings", ~same_heads), issue("Structure", "WARNING", "heading levels", same_heads & (x["h"] != x["g"])), issue("Structure", "WARNING", "list items", far(ITEM, 2)), issue("Structure", "ERROR", "code block count", F.abs(n - m) > drift), issue("Structure", "ERROR", "code block changed", (n == m) & (x["a"] != x["b"])), issue("Structure", "ERROR", "links and images", far(LINK, 0)), issue("Structure", "WARNING", "bold", far(r"\*\*[^*\n]+\*\*", 2)))
+
+    return let(F.struct(fences(s).alias("a"), fences(t).alias("b"), heads(s).alias("h"), heads(t).alias("g")), judged)
 
 
 def shortcodes(s: Column, t: Column) -> Column:
@@ -214,7 +224,8 @@ def register(name: str, check: Check) -> None:
 def validate(pairs: DataFrame, source: str = "source", translation: str = "translation", names: tuple[str, ...] | None = None) -> DataFrame:
     """issues of each pair by the named validators, in their order; nulls are empty texts."""
     s, t = (F.coalesce(F.col(c), F.lit("")) for c in (source, translation))
-    return pairs.withColumn("issues", F.concat(*(VALIDATORS[n](s, t) for n in names or VALIDATORS)))
+    both = let(F.struct(s.alias("s"), t.alias("t")), lambda x: F.concat(*(VALIDATORS[n](x["s"], x["t"]) for n in names or VALIDATORS)))
+    return pairs.withColumn("issues", both)
 
 
 def of_severity(found: Column, severity: str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lumenfold.functions.text import let
+
 
 def _last(keys: tuple[str, ...], order: tuple[str, ...], first: int, last: int = 0):
     return W.partitionBy(*keys).orderBy(*order).rowsBetween(first, last)
@@ -93,11 +95,15 @@ def adaptive_ema(rows: DataFrame, value: str, keys: tuple[str, ...], order: str,
 
     def step(s: Column, v: Column) -> Column:
         last = F.when(F.size(s["last"]) >= n, F.concat(F.slice(s["last"], 2, n - 1), F.array(v))).otherwise(F.concat(s["last"], F.array(v)))
-        size = F.size(last)
-        mean = F.aggregate(last, F.lit(0.0), lambda a, x: a + x) / size
-        spread = F.sqrt(F.aggregate(last, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / size)
-        alpha = F.when(size < 3, s["alpha"]).when((mean != 0) & (spread / F.nullif(mean, F.lit(0.0)) > limit), F.lit(wild)).otherwise(F.lit(calm))
-        return F.struct(F.when(s["ema"].isNull(), v).otherwise(alpha * v + (1 - alpha) * s["ema"]).alias("ema"), alpha.alias("alpha"), last.alias("last"))
+
+        def moved(x: Column) -> Column:
+            spread = F.sqrt(F.greatest(x["squares"] / x["n"] - (x["sum"] / x["n"]) ** 2, F.lit(0.0)))
+            alpha = F.when(x["n"] < 3, s["alpha"]).when((x["sum"] != 0) & (spread * x["n"] / F.nullif(x["sum"], F.lit(0.0)) > limit), F.lit(wild)).otherwise(F.lit(calm))
+            return let(alpha, lambda a: F.struct(F.when(s["ema"].isNull(), v).otherwise(a * v + (1 - a) * s["ema"]).alias("ema"), a.alias("alpha"), x["last"].alias("last")))
+
+        total = lambda xs, f: F.aggregate(xs, F.lit(0.0), lambda a, y: a + f(y))
+        sums = lambda xs: F.struct(xs.alias("last"), F.size(xs).alias("n"), total(xs, lambda y: y).alias("sum"), total(xs, lambda y: y * y).alias("squares"))
+        return let(let(last, sums), moved)
 
     start = F.struct(F.lit(None).cast("double").alias("ema"), F.lit(calm).alias("alpha"), F.array().cast("array<double>").alias("last"))
     out = folded.withColumn("__s", F.aggregate("__v", start, step))
