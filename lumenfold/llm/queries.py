@@ -59,10 +59,11 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second crawl of all pages finds none of them modified; headers is one line for each header, in order."""
+    """A second crawl of all pages finds none of them modified; headers is one line for each header, in order. What is not resolved
+    has refers_to and length -1."""
     found = resolve_revisits(page_records(_table(spark, sf_dir, "pages")))
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
-    return found.withColumn("headers", F.array_join(lines, "\n")).withColumnRenamed("id", "page_id")
+    return found.withColumn("headers", F.array_join(lines, "\n")).fillna({"refers_to": -1, "length": -1}).withColumnRenamed("id", "page_id")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_minhash_near_dedup, op4_gif_media, op5_toxicity, op6_sharding, op7_secret_scan, op8_pii_surrogates, op9_warc_revisits, op10_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+#: The results that SQL can say; the others are tested against brute force, round trips and held-out labels.
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+d AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM d x JOIN d y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reach)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(reach) AS component_id, r.doc_id = min(reach) AS kept FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
+    "op9_warc_revisits": r"""
+WITH u AS (SELECT page_id, coalesce(html, '') AS body, regexp_replace(trim(url), '#.*$', '') AS plain FROM pages),
+h AS (SELECT page_id, body, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^[^@]*@', ''), ':(80|443)$', ''), '^www[0-9]*[.]', '') AS host, regexp_replace(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', '') AS rest FROM u),
+q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|gclid|fbclid|msclkid|mc_cid|mc_eid|ref|sessionid|jsessionid|phpsessid)(=.*)?$'))) AS kept FROM h),
+c AS (SELECT page_id, body, md5(body) AS m, host || regexp_replace(regexp_replace(rest, '[?].*$', ''), '/+$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url FROM q),
+f AS (SELECT c.*, last, l.m AS last_m, octet_length(encode(l.body)) AS last_n FROM c JOIN (SELECT canonical_url, max(page_id) AS last FROM c GROUP BY canonical_url) USING (canonical_url) JOIN c l ON l.page_id = last)
+SELECT page_id, canonical_url, CASE WHEN m = last_m THEN last ELSE -1 END AS refers_to, CASE WHEN m = last_m THEN 'resolved' ELSE 'changed' END AS status,
+'age: 0' || chr(10) || 'cache-control: max-age=60' || chr(10) || CASE WHEN m = last_m THEN 'content-length: ' || cast(last_n AS varchar) || chr(10) || 'content-type: text/html' ELSE 'content-length: 0' END || chr(10) || 'etag: W/"' || substr(m, 1, 16) || '"' AS headers,
+CASE WHEN m = last_m THEN m END AS digest, CASE WHEN m = last_m THEN last_n ELSE -1 END AS length FROM f""",
+}
