@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions import stats
 from lumenfold.functions import text as tx
-from lumenfold.operators import analytics, documents, ledger, memory, quality, sets, windows
+from lumenfold.operators import analytics, documents, ledger, memory, operations, quality, sets, windows
 from lumenfold.operators.query_builder import RunQuery
 from lumenfold.sources import stores
 from lumenfold.streaming import operators as streaming
@@ -132,6 +132,21 @@ def test_memory(spark):
     assert [(r.entry_id, round(r.similarity, 4)) for r in found.orderBy("rank").collect()] == [(0, 1.0), (9, 1.0), (1, round(1 / 1.01, 4))]
 
 
+def test_operations(spark):
+    pairs = spark.createDataFrame([("a", "a", True, 1.0), ("a", "b", True, 0.96), ("a", "b", False, 0.96), ("a", "z", True, 0.1)], "x string, y string, ok boolean, s double")
+    got = {r.outcome: (r.n, r.share) for r in operations.pair_outcomes(pairs, "x", "y", F.col("ok"), F.col("s")).collect()}
+    assert got == {"identical": (1, 0.25), "equivalent": (1, 0.25), "divergent": (2, 0.5)}
+    models = spark.createDataFrame([("m", ["en-de", "en-fr"]), ("n", [])], "model_id string, pairs array<string>")
+    row = operations.language_coverage(models, spark.createDataFrame([("de",), ("ja",), ("fr",), ("ko",)], "lang string")).first()
+    assert (row.covered, row.missing, row.percent) == (2, 2, 50)
+    day = spark.createDataFrame([(datetime(2024, 1, 1),)], "d timestamp").select(operations.run_times(F.col("d"), 1380, 60, 2).alias("t"), operations.within_window(F.lit(30), 1380, 60).alias("w")).first()
+    assert day.t == [datetime(2024, 1, 1, 23), datetime(2024, 1, 2)] and day.w
+    flags = spark.range(1).select(operations.bypasses_lookup(F.lit("REFRESH"), F.lit(True)).alias("a"), operations.updates_cache(F.lit("BYPASS"), F.lit(True)).alias("b"), operations.source_changed(F.lit(2), F.lit(1), F.lit("x"), F.lit("x")).alias("c"), operations.source_changed(F.lit(2), F.lit(1), F.lit("x"), F.lit(None).cast("string")).alias("d")).first()
+    assert tuple(flags) == (True, False, False, True)
+    assert operations.overall_progress(spark.createDataFrame([(1, 4), (1, 4)], "d int, t int"), "d", "t").first().percent == 25
+    assert operations.hit_rates(pairs.limit(0), ("x",), "y").count() == 0
+
+
 def issues_of(spark, s, t, names=None):
     row = quality.validate(spark.createDataFrame([(s, t)], "source string, translation string"), names=names).first()
     return {(i.validator, i.severity, i.message) for i in row.issues}
