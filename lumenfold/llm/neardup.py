@@ -142,6 +142,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         edges = scratch.put(f"{name}-{step}", small)
         now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if now == seen:
+            scratch.drop(f"{name}-{step - 1}")
             break
         seen = now
         if step > 1:
@@ -226,7 +227,8 @@ def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scra
         pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
         links = links.union(scratch.put("links-rest", confirmed(pairs)))
         roots = components(links, scratch, "roots-rest")
-    scratch.drop("sets")
+    for name in ("met", "sets", "lead", "tried", "open", "each", "links-hub", "links-rest", "top", *(f"top-{jump}" for jump in range(JUMPS))):
+        scratch.drop(name)
     return roots
 
 

@@ -203,6 +203,7 @@ def pseudonymise(docs: DataFrame, secret: str, key: str = "doc_id", text: str =
         own = F.broadcast(own) if own.count() <= SMALL else own
         rows = rows.join(own, F.col("__id").eqNullSafe(F.col("__own")), "left")
         attempt = lambda e: F.coalesce(F.element_at("__more", F.concat_ws("\x00", e["kind"], e["canon"])), F.lit(0))
+    scratch.drop("found")
     made = F.transform("__found", lambda e: F.struct(e["kind"].alias("kind"), F.when(e["kind"].isNull(), e["raw"]).otherwise(surrogate(e["kind"], e["raw"], e["canon"], attempt(e), secret)).alias("surrogate")))
     rows = rows.withColumn("__made", F.when(F.size("__found") > 0, made).otherwise(F.array().cast("array<struct<kind:string,surrogate:string>>")))
     filled = F.array_join(F.transform("__pieces", lambda p, i: F.when(i % 2 == 1, F.get("__made", F.floor(i / 2).cast("int"))["surrogate"]).otherwise(p)), "")
