@@ -197,27 +197,35 @@ def heading_votes(pairs: DataFrame, source: str, target: str, keys: tuple[str, .
 # -- BLEU
 
 
-def ngram_counts(text: Column, n: int) -> Column:
-    """A map from the n-grams of a text's tokens (punctuation apart) to their counts."""
-    from lumenfold.functions.text import ngrams
+def _gram_counts(batches: Iterator, keys: int, order: int) -> Iterator:
+    """For each pair of texts whose tokens spaces part: the numbers of tokens, and for each n the n-grams shared and all."""
+    from collections import Counter
 
-    words = F.filter(F.split(F.regexp_replace(text, r"([\p{P}\p{S}])", " $1 "), r"\s+"), lambda w: w != "")
-    grams = ngrams(words, n)
-    return F.map_from_entries(F.transform(F.array_distinct(grams), lambda g: F.struct(g, F.size(F.filter(grams, lambda h: h == g)))))
+    import pyarrow as pa
+
+    for batch in batches:
+        out = []
+        for h, r in zip(batch.column(keys).to_pylist(), batch.column(keys + 1).to_pylist(), strict=True):
+            a, b = (h or b"").split(), (r or b"").split()
+            row = [None if h is None else len(a), None if r is None else len(b)]
+            for n in range(1, order + 1):
+                x, y = (Counter(zip(*(w[i:] for i in range(n)), strict=False)) for w in (a, b))
+                row += [sum(min(c, y[g]) for g, c in x.items() if g in y), max(0, len(a) - n + 1)]
+            out.append(row)
+        if out:
+            names = [f"__{k}" for k in range(keys)] + [f"__n{k}" for k in range(2 + 2 * order)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keys], *(pa.array(c, pa.int64()) for c in zip(*out, strict=True))], names)
 
 
 def corpus_bleu(pairs: DataFrame, hypothesis: str, reference: str, keys: tuple[str, ...] = (), order: int = 4) -> DataFrame:
     """(keys…, bleu): clipped n-gram counts are summed over the pairs, then combined with the brevity penalty; 0 to 100."""
-    sums = []
-
-    def hits(h: Column, r: Column) -> Column:
-        return F.aggregate(F.map_entries(h), F.lit(0), lambda a, e: a + F.least(e["value"], F.coalesce(F.try_element_at(r, e["key"]), F.lit(0))))
-
-    for n in range(1, order + 1):
-        h, r = ngram_counts(F.col(hypothesis), n), ngram_counts(F.col(reference), n)
-        sums += [F.sum(hits(h, r)).alias(f"hit{n}"), F.sum(F.aggregate(F.map_values(h), F.lit(0), lambda a, v: a + v)).alias(f"all{n}")]
-    length = lambda c: F.sum(F.aggregate(F.map_values(ngram_counts(F.col(c), 1)), F.lit(0), lambda a, v: a + v))
-    out = pairs.groupBy(*keys).agg(*sums, length(hypothesis).alias("__h"), length(reference).alias("__r"))
+    spaced = lambda c: F.regexp_replace(c, r"([\p{P}\p{S}])", " $1 ").cast("binary")
+    kinds = [f"__{k} {pairs.schema[c].dataType.simpleString()}" for k, c in enumerate(keys)] + [f"__n{k} bigint" for k in range(2 + 2 * order)]
+    size = len(keys)  # the function takes no DataFrame along
+    counted = pairs.select(*keys, spaced(hypothesis), spaced(reference)).mapInArrow(lambda batches: _gram_counts(batches, size, order), ", ".join(kinds))
+    counted = counted.withColumnsRenamed({f"__{k}": c for k, c in enumerate(keys)})
+    sums = [F.sum(f"__n{2 * n + k}").alias(f"{name}{n}") for n in range(1, order + 1) for k, name in enumerate(("hit", "all"))]
+    out = counted.groupBy(*keys).agg(*sums, F.sum("__n0").alias("__h"), F.sum("__n1").alias("__r"))
     logs = sum((F.log(F.try_divide(F.col(f"hit{n}"), f"all{n}")) for n in range(1, order + 1)), F.lit(0.0)) / order
     none = F.greatest(*(F.when(F.col(f"hit{n}") > 0, 0).otherwise(1) for n in range(1, order + 1))) == 1
     brevity = F.when(F.col("__h") >= F.col("__r"), 0.0).otherwise(1 - F.try_divide("__r", "__h"))

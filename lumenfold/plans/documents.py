@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumenfold.operators import documents, quality
 from lumenfold.plans.benchmarks import rounded
 from lumenfold.plans.registry import query
-from lumenfold.plans.texts import SOURCE, TARGET
+from lumenfold.plans.texts import HEAD_SOURCE, HEAD_TARGET, SOURCE, TARGET
 from lumenfold.sources import stores
 from lumenfold.sources.tables import logical, pairs, read, with_tables
 from lumenfold.streaming import operators as streaming
@@ -38,7 +38,7 @@ def term_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.detect_terms(read(spark, sf_dir, "documents"), "doc_id", "text", ("License", "GNU General Public License", "token"))
 
 
-@query(f"WITH p AS (SELECT doc_id, {SOURCE} AS s, {TARGET} AS t FROM documents), h AS (SELECT regexp_extract_all(s, '(?m)^#{{1,6}} (.*)$', 1) AS a, regexp_extract_all(t, '(?m)^#{{1,6}} (.*)$', 1) AS b FROM p), z AS (SELECT unnest(list_zip(a, b)) AS z FROM h WHERE len(a) = len(b)) SELECT z[1] AS heading, z[2] AS rendering, count(*) AS votes FROM z GROUP BY ALL")
+@query(f"WITH p AS (SELECT doc_id, {HEAD_SOURCE} AS s, {HEAD_TARGET} AS t FROM documents), h AS (SELECT regexp_extract_all(s, '(?m)^#{{1,6}} (.*)$', 1) AS a, regexp_extract_all(t, '(?m)^#{{1,6}} (.*)$', 1) AS b FROM p), z AS (SELECT unnest(list_zip(a, b)) AS z FROM h WHERE len(a) = len(b)) SELECT z[1] AS heading, z[2] AS rendering, count(*) AS votes FROM z GROUP BY ALL")
 def heading_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").selectExpr("doc_id", f"{SOURCE} AS s", f"{TARGET} AS t")
     return documents.heading_votes(docs, "s", "t").drop("rank")

@@ -51,3 +51,48 @@ def test_entry_without_the_pipeline(spark, monkeypatch):
     assert entry.entry(spark).count() > 0
     monkeypatch.setattr(entry, "llm_queries", None)
     assert set(entry.queries()) == set(REGISTRY.QUERIES) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def long_texts(spark, tmp_path_factory):
+    """Documents whose ends are far behind their 260th character."""
+    path = str(tmp_path_factory.mktemp("long"))
+    data = [(i, "Words of the part that go on, " * 12 + f"\n\nAt last the end number {i} comes.\n\n## Late {i}\n\nIt is so. It is so. It is so.", "en" if i % 2 else "de", "s") for i in range(30)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string").write.parquet(f"{path}/documents.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", ["markdown_units", "unit_quality", "heading_votes", "write_gate_report", "validator_issues"])
+def test_pairs_hold_whole_texts(spark, long_texts, name):
+    got = REGISTRY.QUERIES[name](spark, long_texts)
+    if name == "markdown_units":
+        assert sum("At last the end number" in r.text for r in got.collect()) == 30
+    elif name == "unit_quality":
+        assert got.filter("doc_id = 0").count() > 10
+    elif name == "heading_votes":
+        assert {r.heading for r in got.collect()} >= {"Late 0", "Late 23"}
+    elif name == "write_gate_report":
+        # only one side's empty lines stand for the text; the late heading goes with it
+        assert "heading_deficit" in got.filter("doc_id = 6").first().gates and "heading_deficit" not in got.filter("doc_id = 0").first().gates
+    else:
+        assert got.filter("message = 'repeated sentence'").select("doc_id").distinct().count() == 29
+
+
+def test_corpus_bleu_of_whole_texts(spark, long_texts):
+    import unicodedata
+    from collections import Counter
+
+    from lumenfold.plans.texts import _doc_pairs
+
+    sums = {}
+    for r in _doc_pairs(spark, long_texts).join(spark.read.parquet(f"{long_texts}/documents.parquet").select("doc_id", "lang"), "doc_id").collect():
+        assert "At last the end number" in r.s
+        h, s = ("".join(f" {c} " if unicodedata.category(c)[0] in "PS" else c for c in x).split() for x in (r.t, r.s))
+        got = sums.setdefault(r.lang, Counter())
+        got["h"], got["r"] = got["h"] + len(h), got["r"] + len(s)
+        for n in range(1, 5):
+            a, b = (Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (h, s))
+            got["hit", n] += sum((a & b).values())
+            got["all", n] += sum(a.values())
+    want = {k: 100 * math.exp(sum(math.log(c["hit", n] / c["all", n]) for n in range(1, 5)) / 4 + min(0, 1 - c["r"] / c["h"])) for k, c in sums.items()}
+    assert {r.lang: r.bleu for r in REGISTRY.QUERIES["corpus_bleu"](spark, long_texts).collect()} == pytest.approx(want, abs=1e-3)
