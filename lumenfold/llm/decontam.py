@@ -193,7 +193,21 @@ def _searched(part: list[tuple[object, str]], rate: float, kind, item_kind):
     return lean(searched)
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
-    """The rows of docs that hold no item within its budget; rows that share a key go together."""
-    keys = find_leaks(docs, items, key, text, rate=rate).select(F.col(key).alias("__leak_key")).distinct()
-    return docs.join(keys, F.col(key).eqNullSafe(F.col("__leak_key")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE, block: int = BLOCK) -> DataFrame:
+    """The rows of docs that hold no item within its budget, judged where they lie, whatever their keys."""
+    place = docs.columns.index(text)
+    for part in _blocks(items.select("item_id", "text"), block):
+        docs = docs.mapInArrow(_clean(part, rate, place), docs.schema)
+    return docs
+
+
+def _clean(part: list[tuple[object, str]], rate: float, place: int):
+    def clean(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        matcher = Matcher(part, rate)
+        for batch in batches:
+            texts = batch.column(place)
+            yield batch.filter(pa.array([not (texts[k].is_valid and matcher(texts[k].as_py())) for k in range(batch.num_rows)], pa.bool_()))
+
+    return lean(clean)

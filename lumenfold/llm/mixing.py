@@ -77,8 +77,14 @@ def words_of(text: Column) -> Column:
 
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK) -> DataFrame:
     """One row for each row of docs: (key, size, source_size, target, taken)."""
+    taken = _taken(docs, key, text, source, weights, most, block, F.lit(None).cast("string"))
+    return taken.select(F.col("key").alias(key), "size", "source_size", "target", "taken")
+
+
+def _taken(docs: DataFrame, key: str, text: str, source: str, weights: tuple[float, ...], most: int, block: int, mark: Column) -> DataFrame:
+    """(key, size, source_size, target, taken, mark): mark tells rows of one key apart."""
     scratch = Scratch(docs.sparkSession, "mix")
-    rows = scratch.put("rows", docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"), F.xxhash64(F.col(key).cast("string"), F.lit("order")).alias("hash")))
+    rows = scratch.put("rows", docs.select(F.col(key).alias("key"), F.col(source).alias("source"), mark.alias("mark"), words_of(F.col(text)).alias("size"), F.xxhash64(F.col(key).cast("string"), F.lit("order")).alias("hash")))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     targets = source_targets(sizes.select("source", "source_size"), weights, most)
     number = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -88,32 +94,38 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     # the stream: documents of a source by hash, in stretches of about STRETCH documents
     stretches = 1 + rows.count() // STRETCH
     placed = rows.join(targets.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).withColumn("stretch", F.pmod("hash", F.lit(stretches)))
-    empty = placed.filter("size = 0").select("key", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    placed = placed.filter("size > 0").select("key", "size", "source_size", "target", "goal", "number", "stretch", "hash")
+    empty = placed.filter("size = 0").select("key", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), "mark")
+    placed = placed.filter("size > 0").select("key", "mark", "size", "source_size", "target", "goal", "number", "stretch", "hash")
     before = (W.unboundedPreceding, -1)
     starts = placed.groupBy("number", "stretch").agg(F.sum("size").alias("words"))
     starts = starts.select("number", "stretch", F.coalesce(F.sum("words").over(W.partitionBy("number").orderBy("stretch").rowsBetween(*before)), F.lit(0)).alias("start"))
-    inner = F.coalesce(F.sum("size").over(W.partitionBy("number", "stretch").orderBy("hash", "key", "size").rowsBetween(*before)), F.lit(0))
+    inner = F.coalesce(F.sum("size").over(W.partitionBy("number", "stretch").orderBy("hash", "key", "size", "mark").rowsBetween(*before)), F.lit(0))
     stream = placed.withColumn("inner", inner).join(starts, ["number", "stretch"]).withColumn("begin", F.col("start") + F.col("inner"))
     # blocks that a document meets in each pass over its source, as far as the goal goes; the first pass stays, so that each row does
     passes = stream.withColumn("pass", F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda p: F.col("begin") + p * F.col("source_size")), lambda b: (b < F.col("goal")) | (b == F.col("begin")))))
     parts = passes.withColumn("rank", F.explode(F.sequence((F.col("pass") / block).cast("long"), ((F.col("pass") + F.col("size") - 1) / block).cast("long"))))
     plan = schedule(targets.filter("goal > 0").select("number", "goal"), -(-slots // block), block) if slots else None
     if plan is None:
-        taken = stream.select("key", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+        taken = stream.select("key", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), "mark")
     else:
         low, high = F.greatest(F.col("pass"), F.col("rank") * block), F.least(F.col("pass") + F.col("size"), F.col("rank") * block + F.col("words"))
         held = parts.join(plan.select("number", "rank", "words"), ["number", "rank"], "left").withColumn("held", F.when(F.col("words").isNull(), 0).otherwise(F.greatest(high - low, F.lit(0))))
-        taken = held.groupBy("number", "begin", "key", "size", "source_size", "target").agg(F.sum("held").cast("long").alias("taken")).select("key", "size", "source_size", "target", "taken")
-    return taken.union(empty).withColumnRenamed("key", key)
+        taken = held.groupBy("number", "begin", "key", "mark", "size", "source_size", "target").agg(F.sum("held").cast("long").alias("taken")).select("key", "size", "source_size", "target", "taken", "mark")
+    return taken.union(empty)
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK) -> DataFrame:
-    """The mix itself, with the columns of docs: each document as often as the mix takes it, rounded to whole copies.
-
-    Rows that share a key share what was taken of them; documents that the mix takes less than half of are left out."""
-    took = mix_sources(docs, key, text, source, weights, most, block)
-    took = took.groupBy(F.col(key).alias("__mix_key"), F.col("size").alias("__mix_size")).agg(F.avg("taken").alias("taken"))
-    took = took.select("__mix_key", F.round(F.col("taken") / F.greatest("__mix_size", F.lit(1))).cast("int").alias("__copies")).filter("__copies > 0").groupBy("__mix_key").agg(F.max("__copies").alias("__copies"))
-    out = docs.join(took, F.col(key).eqNullSafe(F.col("__mix_key")))
-    return out.withColumn("__mix_key", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    """The mix itself, with the columns of docs: each document as often as the mix takes it, rounded to whole copies; documents that
+    the mix takes less than half of are left out.
+
+    Rows are told apart by key, source and text, whatever their keys; rows that repeat all three share out their copies."""
+    mark = F.md5(F.concat_ws("|", F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8")), F.coalesce(F.length(source), F.lit(-1)).cast("string"), source))
+    took = _taken(docs, key, text, source, weights, most, block, mark).groupBy(F.col("key").alias("__mix_key"), F.col("mark").alias("__mix_mark"))
+    took = took.agg(F.sum(F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")).alias("__copies"), F.count("*").alias("__rows")).filter("__copies > 0")
+    took = Scratch(docs.sparkSession, "copies").put("copies", took)
+    out = docs.withColumn("__mark", mark).join(took, F.col(key).eqNullSafe(F.col("__mix_key")) & (F.col("__mark") == F.col("__mix_mark")))
+    copies = F.col("__copies")
+    if not took.filter("__rows > 1").isEmpty():
+        out = out.withColumn("__nth", F.row_number().over(W.partitionBy("__mix_key", "__mix_mark").orderBy("__copies")))
+        copies = F.floor(F.col("__copies") / F.col("__rows")) + F.when(F.col("__nth") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
+    return out.withColumn("__mix_key", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*docs.columns)

@@ -25,8 +25,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from lumenfold.llm.common import Scratch, lean, mix, pieces, shingle_sets, text_arrays
+from lumenfold.llm.common import WORD, Scratch, lean, mix, pieces, shingle_sets, text_arrays
 
 BANDS, ROWS, WIDTH = 32, 6, 5
 #: Members of a bucket whose pairs may be held against each other directly; larger buckets go by their difference from the hub.
@@ -158,6 +159,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     """One row for each row of docs: (key, n_shingles, component_id, kept).
 
     Texts are linked if 100 * |A and B| >= percent * |A or B| for their shingle sets."""
+    found = _classes(docs, key, text, percent, width)[1]
+    return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def _ids_name_rows(profiles: DataFrame) -> bool:
+    """No id is null or repeats."""
+    return profiles.filter("id is null").isEmpty() and profiles.groupBy("id").count().filter("count > 1").isEmpty()
+
+
+def _classes(docs: DataFrame, key: str, text: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(id, n, node, bands) of each row, and (id, n, component_id, node, root): a row without shingles has no root."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "neardup")
     profiles = scratch.put("profiles", docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(lean(lambda b: _profiles(b, width)), f"id {docs.schema[key].dataType.simpleString()}, n long, node binary, bands array<long>"))
     classes = profiles.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
@@ -172,9 +184,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         roots = spark.createDataFrame([], "node binary, root binary")
     named = profiles.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    group = named.join(least, "root").select("node", "component_id")
-    found = profiles.filter("n > 0").join(group, "node").select("id", "n", "component_id").union(profiles.filter("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    group = named.join(least, "root").select("node", "component_id", "root")
+    found = profiles.filter("n > 0").join(group, "node").select("id", "n", "component_id", "node", "root")
+    return profiles, found.union(profiles.filter("n = 0").select("id", "n", F.col("id").alias("component_id"), "node", F.lit(None).cast("binary").alias("root")))
 
 
 def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scratch, key: str, text: str, percent: int, width: int) -> DataFrame:
@@ -183,7 +195,7 @@ def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scra
     nodes = met.select("node").distinct()
     rows = profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    if profiles.filter("id is null").isEmpty() and profiles.groupBy("id").count().filter("count > 1").isEmpty():
+    if _ids_name_rows(profiles):
         texts = texts.join(rows, "id").select("node", "text")
         sets = texts.mapInArrow(lean(lambda b: _sets(b, width)), "node binary, elements array<long>")
     else:  # ids that repeat or are null do not name a text: compute the sets of all rows, with their class
@@ -292,10 +304,27 @@ def _named_sets(batches: Iterator, width: int) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), got.column(1)], ["node", "elements"])
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of docs without all but one of each group: the row of the least id stays; of rows that repeat an id, one."""
-    groups = near_duplicates(docs, key, text, percent)
-    kept = groups.filter("kept").groupBy(key).agg(F.count("*").alias("times"))
-    kept = Scratch(docs.sparkSession, "kept").put("kept", kept)
-    out = docs.join(kept.select(F.col(key).alias("kept_id")), F.col(key).eqNullSafe(F.col("kept_id")), "left_semi")
-    return out if kept.filter("times > 1").isEmpty() else out.dropDuplicates([key])
+def _with_class(batches: Iterator, place: int, width: int) -> Iterator:
+    """The rows as they are, and the name of each one's class."""
+    import pyarrow as pa
+
+    for batch in batches:
+        pair = pa.RecordBatch.from_arrays([batch.column(place), batch.column(place)], ["id", "text"])
+        nodes = [got.column(0) for got in _named_sets([pair], width)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(nodes) if nodes else pa.array([], pa.binary())], [*batch.schema.names, "__node"])
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH) -> DataFrame:
+    """The rows of docs without all but one of each group: a row of the least id stays, null the last. A row without shingles is a
+    group of its own. Ids may be null or repeat: rows then are told apart by id and class."""
+    profiles, found = _classes(docs, key, text, percent, width)
+    scratch = Scratch(docs.sparkSession, "kept")
+    if _ids_name_rows(profiles):
+        kept = scratch.put("kept", found.filter("id = component_id").select(F.col("id").alias("__kept")))
+        return docs.join(kept, F.col(key) == F.col("__kept"), "left_semi")
+    least = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("x"))
+    kept = scratch.put("kept", least.select(F.col("x.id").alias("__kept"), F.col("x.node").alias("__class")))
+    worded, place = F.coalesce(F.col(text).rlike(WORD), F.lit(False)), docs.columns.index(text)
+    classed = docs.filter(worded).mapInArrow(lean(lambda b: _with_class(b, place, width)), StructType([*docs.schema.fields, StructField("__node", BinaryType())]))
+    one = classed.join(kept, (F.col("__node") == F.col("__class")) & F.col(key).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["__node"])
+    return docs.filter(~worded).union(one.drop("__node"))

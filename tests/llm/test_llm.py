@@ -527,3 +527,49 @@ def test_pipeline_is_its_stages(spark):
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0, name
+
+
+# -- rows that no id tells apart
+
+
+@pytest.fixture(scope="module")
+def shared_ids(spark):
+    """Ids that are null or repeat, over texts that have nothing in common but where they are copies."""
+    draw = random.Random(21)
+    texts = [prose(60, draw) for _ in range(9)]
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (3, texts[3]), (3, texts[4]), (3, texts[5]), (1, texts[5]), (2, texts[6]), (2, texts[6]), (5, None), (5, ""), (None, " "), (4, texts[7]), (None, texts[7]), (6, texts[8])]
+    return texts, spark.createDataFrame([(i, t, "en", "s", 0, "x", 0.0, 1, True) for i, t in data], SCHEMA)
+
+
+def test_one_of_each_keeps_rows_not_ids(shared_ids):
+    texts, docs = shared_ids
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (3, texts[3]), (3, texts[4]), (1, texts[5]), (2, texts[6]), (5, None), (5, ""), (None, " "), (4, texts[7]), (6, texts[8])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_leaks_take_no_row_along(spark, shared_ids):
+    texts, docs = shared_ids
+    items = spark.createDataFrame([(1, texts[0]), (2, texts[3]), (3, None)], "item_id long, text string")
+    clean = decontam.without_leaks(docs, items)
+    assert clean.columns == docs.columns and clean.count() == 13 and not {r.text for r in clean.collect()} & {texts[0], texts[3]}
+    assert decontam.without_leaks(docs, items, block=1).count() == 13 and decontam.without_leaks(docs, items.limit(0)).count() == 15
+
+
+def test_mixed_copies_rows_not_ids(spark):
+    """Copies of each row are those of the same rows under ids of their own, so far as the order of the stream is the same."""
+    draw = random.Random(22)
+    data = [(None if i % 3 else i % 5, prose(draw.randint(20, 90), draw), "s%d" % (i % 4)) for i in range(120)]
+    data += data[:7]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    want = {}
+    for r in mixing._taken(docs, "doc_id", "text", "source", mixing.WEIGHTS, mixing.MOST, 64, F.col("text")).collect():
+        want[r.key, r.mark] = want.get((r.key, r.mark), 0) + int(r.taken / r["size"] + 0.5)
+    got = {}
+    for r in mixing.mixed(docs, block=64).collect():
+        got[r.doc_id, r.text] = got.get((r.doc_id, r.text), 0) + 1
+    words = sum(len(t.split()) for _, t, _ in data)
+    assert sum(n * len(t.split()) for (_, t), n in got.items()) == pytest.approx(words, rel=0.1)
+    assert len({n for (i, _), n in got.items() if i is None}) > 1 and len(got) < 120
+    assert sum(got.values()) == pytest.approx(sum(want.values()), abs=12)
