@@ -257,12 +257,26 @@ def _prose_lines(t: Column) -> Column:
     return F.filter(lines(without_code(body(t))), lambda x: F.trim(x) != "")
 
 
+#: Fields of the front matter whose backticks come in pairs.
+BACKTICKED = ("title", "description", "summary", "linkTitle")
+
+
+def paired_backticks(t: Column) -> Column:
+    """A backtick at the end of each such field, within its quotes, that has an odd number of them."""
+    front = F.regexp_extract(t, f"({FRONT})", 1)
+    fixed = front
+    for n in BACKTICKED:
+        value = rf"""(?s)\A(.*?\n{n}: *(?:"[^\n]*(?=" *\n)|'[^\n]*(?=' *\n)|[^\n]*?(?= *\n)))"""
+        fixed = F.when(count(field(t, n), "`") % 2 == 1, F.regexp_replace(fixed, value, "$1`")).otherwise(fixed)
+    return F.concat(fixed, F.substr(t, F.length(front) + 1))
+
+
 GATES: dict[str, Check] = {
     "code_block": lambda s, t: F.size(fences(t)) < F.size(fences(s)),
     "heading_surplus": lambda s, t: count(t, HEADING) > count(s, HEADING) + 3,
     "heading_deficit": lambda s, t: count(t, r"(?m)^## ") < count(s, r"(?m)^## "),
     "front_matter_keys": lambda s, t: multiset_differs(keys_of(s), keys_of(t)),
-    "front_matter_backticks": lambda s, t: reduce(lambda a, b: a | b, (count(field(t, n), "`") % 2 == 1 for n in ("title", "description", "summary", "linkTitle"))),
+    "front_matter_backticks": lambda s, t: reduce(lambda a, b: a | b, (count(field(t, n), "`") % 2 == 1 for n in BACKTICKED)),
     "double_periods": lambda s, t: without_code(t).rlike(r"(?<!\.)\.\.(?!\.)") & ~without_code(s).rlike(r"(?<!\.)\.\.(?!\.)"),
     "foreign_policy": lambda s, t: t.rlike(r"(?i)\b(GDPR|European (Union|Parliament|Commission))\b") & ~s.rlike(r"(?i)\b(GDPR|European (Union|Parliament|Commission))\b"),
     "table_rows": lambda s, t: (count(s, r"(?m)^\|") >= 4) & ((count(t, r"(?m)^\|") < 0.5 * count(s, r"(?m)^\|")) | (count(t, r"(?m)^\|") > 2 * count(s, r"(?m)^\|"))),
@@ -286,7 +300,7 @@ GATES: dict[str, Check] = {
     "markdown_syntax": lambda s, t: (count(t, r"\*\*") % 2 == 1) & (count(s, r"\*\*") % 2 == 0),
 }
 #: Gates whose objection is repaired in the text that the gates after them see.
-REPAIRS: dict[str, Callable[[Column], Column]] = {"double_periods": lambda t: F.regexp_replace(t, r"(?<!\.)\.\.(?!\.)", "."), "front_matter_backticks": lambda t: t}
+REPAIRS: dict[str, Callable[[Column], Column]] = {"double_periods": lambda t: F.regexp_replace(t, r"(?<!\.)\.\.(?!\.)", "."), "front_matter_backticks": paired_backticks}
 
 
 def gate_report(pairs: DataFrame, source: str = "source", translation: str = "translation", names: tuple[str, ...] | None = None) -> DataFrame:

@@ -252,3 +252,13 @@ def test_sink_writes_once(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2]
+
+
+def test_write_decision_pairs_backticks(spark):
+    front = "---\ntitle: \"A `b\"\ndescription: 'x `y` z'\nsummary: the `c\nlinkTitle: say \"d` \nother: `e\n---\n# H\n\ntitle: a `b stays\n"
+    want = "---\ntitle: \"A `b`\"\ndescription: 'x `y` z'\nsummary: the `c`\nlinkTitle: say \"d`` \nother: `e\n---\n# H\n\ntitle: a `b stays\n"
+    pairs = spark.createDataFrame([(1, want, front), (2, "title: `a", "title: `a"), (3, None, None)], "id long, source string, translation string")
+    got = {r.id: r for r in quality.write_decision(pairs).collect()}
+    assert got[1].text == want and got[1].blocked_by is None
+    assert got[2].text == "title: `a" and got[3].text == ""
+    assert quality.write_decision(pairs, zero_defect=True).filter("id = 1").first().blocked_by == "front_matter_backticks"
