@@ -76,6 +76,39 @@ def lean(work):
     return run
 
 
+#: Rows of one key that a task joins, about; rows of a table that may be sent to all tasks.
+SPREAD, BROADCAST_ROWS = 4096, 200_000
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked to be sent to all tasks if it has few rows; its rows must be narrow, and reading it twice cheap."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def salt(by: str | Column, rows: int) -> Column:
+    """The share of its key that a row belongs to, where one key may hold all ``rows``."""
+    return F.pmod(F.xxhash64(by), F.lit(1 + rows // SPREAD))
+
+
+def spread_join(rows: DataFrame, few: DataFrame, on: str, by: str, count: int) -> DataFrame:
+    """rows joined with few, which has one row for each value of ``on``; one value may hold all ``count`` rows.
+
+    Rows of a value are dealt out by a hash of ``by``, and few's row goes to those shares that the value has."""
+    if count <= SPREAD:
+        return rows.join(few, on)
+    name = fresh(rows, "share")
+    dealt = rows.withColumn(name, salt(by, count))
+    return dealt.join(dealt.select(on, name).distinct().join(few, on), [on, name]).drop(name)
+
+
 def crc_of_id(key: str | Column = "doc_id") -> Column:
     """crc32 of an id as text; null for a null id."""
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"))

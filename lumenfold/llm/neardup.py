@@ -11,7 +11,9 @@
    are that share enough of what sets them apart from the hub (see ``_by_difference``), which loses no link either.
 4. Every link is confirmed on the full sets. Union-find within partitions, then star contraction between them, gives the groups.
 
-With 32 bands of 6 slots a pair of similarity 0.85 fails to meet with a probability of 3e-7. Sets hold 64-bit hashes of shingles.
+With 32 bands of 6 slots a pair of similarity 0.85 fails to meet with a probability of 3e-7, one of 0.8 with 6e-5. Sets hold 64-bit
+hashes of shingles. A bucket, hub, class or group may hold any share of all rows: whatever joins on one deals its rows out into
+shares of about ``SPREAD`` rows, and sends the one row they join with to each share (``spread_join``, ``_with_sets``).
 
 Defined results. Null, empty or blank text: no shingles, linked with nothing, its own group. A text shorter than a shingle: its
 whole word sequence is the one shingle. Repeated rows: each comes back, with equal values. A null id takes part in linking but
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from lumenfold.llm.common import WORD, Scratch, lean, mix, pieces, shingle_sets, text_arrays
+from lumenfold.llm.common import WORD, Scratch, fresh, lean, mix, pieces, salt, shingle_sets, small, spread_join, text_arrays
 
 BANDS, ROWS, WIDTH = 32, 6, 5
 #: Members of a bucket whose pairs may be held against each other directly; larger buckets go by their difference from the hub.
@@ -35,8 +37,8 @@ SMALL = 32
 #: Steps from hub to heavier hub; more would only join more groups of members into one.
 JUMPS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Shingles whose permutations are held in memory at a time.
-_ELEMENTS = 1 << 17
+#: Shingles whose permutations, and nodes whose trees, are held in memory at a time.
+_ELEMENTS, _LINKS = 1 << 17, 1 << 18
 
 
 def superminhash(elements: np.ndarray, offsets: np.ndarray, slots: int = BANDS * ROWS) -> np.ndarray:
@@ -105,7 +107,7 @@ def _sets(batches: Iterator, width: int) -> Iterator:
 
 
 def _forest(batches: Iterator) -> Iterator:
-    """Union-find over the links of one partition: a star for each tree, its least node in the middle."""
+    """Union-find over the links of one partition, ``_LINKS`` nodes at a time: a star for each tree, its least node in the middle."""
     import pyarrow as pa
 
     root: dict[bytes, bytes] = {}
@@ -115,13 +117,19 @@ def _forest(batches: Iterator) -> Iterator:
             root[x] = x = root[up]
         return x
 
+    def stars():
+        found = [(x, r) for x in root if (r := find(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b = find(a), find(b)
             if a != b:
                 root[max(a, b)] = min(a, b)
-    stars = [(x, r) for x in root if (r := find(x)) != x]
-    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in stars], pa.binary()) for i in (0, 1)], ["a", "b"])
+        if len(root) > _LINKS:
+            yield stars()
+            root.clear()
+    yield stars()
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -130,22 +138,22 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     Stars of each partition's own union-find, then alternating large-star and small-star steps until nothing changes; each step
     keeps at most as many rows as there are links, and sends a node's links only to their least node."""
     edges = scratch.put(f"{name}-0", links.select("a", "b").mapInArrow(lean(_forest), "a binary, b binary"))
-    step, seen = 0, None
+    step, seen, count = 0, None, edges.count()
     while True:
         # large star: a node's larger neighbours move to its least neighbour
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = spread_join(both.filter(F.col("b") > F.col("a")), least, "a", "b", 2 * count).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours move to the least of them; now a > b in every row
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").filter("a <> b").distinct()
+        small_ = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").filter("a <> b").distinct()
         step += 1
-        edges = scratch.put(f"{name}-{step}", small)
+        edges = scratch.put(f"{name}-{step}", small_)
         now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if now == seen:
             scratch.drop(f"{name}-{step - 1}")
             break
-        seen = now
+        seen, count = now, now[0]
         if step > 1:
             scratch.drop(f"{name}-{step - 2}")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -172,83 +180,97 @@ def _classes(docs: DataFrame, key: str, text: str, percent: int, width: int) ->
     """(id, n, node, bands) of each row, and (id, n, component_id, node, root): a row without shingles has no root."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "neardup")
     profiles = scratch.put("profiles", docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(lean(lambda b: _profiles(b, width)), f"id {docs.schema[key].dataType.simpleString()}, n long, node binary, bands array<long>"))
-    classes = profiles.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    slots = scratch.put("slots", classes.select("node", "n", F.explode("bands").alias("bucket")))
-    shared = slots.groupBy("bucket").agg(F.count("*").alias("met")).filter("met > 1")
-    met = scratch.put("met", slots.join(shared, "bucket"))
-    scratch.drop("slots")
+    worded = profiles.filter("n > 0")
+    classes = scratch.put("classes", worded.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    # the buckets that several classes meet in; a bucket is counted by shares of its members, and each share is told the whole count
+    slots = classes.select("node", "id", "n", F.explode("bands").alias("bucket")).withColumn("share", salt("node", BANDS * classes.count()))
+    shares = slots.groupBy("bucket", "share").agg(F.count("*").alias("met"))
+    shared = shares.groupBy("bucket").agg(F.sum("met").alias("met")).filter("met > 1")
+    met = scratch.put("met", slots.join(shares.select("bucket", "share").join(shared, "bucket"), ["bucket", "share"]).drop("share"))
     roots = None
     if not met.isEmpty():
         roots = _grouped(docs, profiles, met, scratch, key, text, percent, width)
     if roots is None:
         roots = spark.createDataFrame([], "node binary, root binary")
-    named = profiles.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = classes.select("node", F.col("id").alias("least")).join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    group = named.join(least, "root").select("node", "component_id", "root")
-    found = profiles.filter("n > 0").join(group, "node").select("id", "n", "component_id", "node", "root")
+    group = spread_join(named, least, "root", "node", classes.count()).select("node", "component_id", "root")
+    found = spread_join(worded, group, "node", "id", profiles.count()).select("id", "n", "component_id", "node", "root")
     return profiles, found.union(profiles.filter("n = 0").select("id", "n", F.col("id").alias("component_id"), "node", F.lit(None).cast("binary").alias("root")))
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (hub, node, ...), a written table, with the hub's elements h and the node's elements x.
+
+    A hub may have any number of nodes: they are dealt out into shares, each of which gets the hub's set once."""
+    dealt = pairs.withColumn("share", salt("node", pairs.count()))
+    hubs = dealt.select("hub", "share").distinct().join(sets.select(F.col("node").alias("hub"), F.col("elements").alias("h")), "hub")
+    return dealt.join(sets.select("node", F.col("elements").alias("x")), "node").join(hubs, ["hub", "share"]).drop("share")
+
+
 def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scratch, key: str, text: str, percent: int, width: int) -> DataFrame:
     """The roots of all classes that are linked with another."""
     # the text of one row for each class that meets another; ids name rows here, the class of what is read is computed anew
-    nodes = met.select("node").distinct()
-    rows = profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
+    nodes = met.groupBy("node").agg(F.first("id").alias("id"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     if _ids_name_rows(profiles):
-        texts = texts.join(rows, "id").select("node", "text")
+        texts = texts.join(small(scratch.put("nodes", nodes)), "id").select("node", "text")
         sets = texts.mapInArrow(lean(lambda b: _sets(b, width)), "node binary, elements array<long>")
     else:  # ids that repeat or are null do not name a text: compute the sets of all rows, with their class
-        sets = texts.select("id", "text").mapInArrow(lean(lambda b: _named_sets(b, width)), "node binary, elements array<long>").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
+        sets = texts.select("id", "text").mapInArrow(lean(lambda b: _named_sets(b, width)), "node binary, elements array<long>").join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
     sets = scratch.put("sets", sets)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        a, b = sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        return pairs.select("a", "b").join(a, "a").join(b, "b").filter(_same(both, F.size("x") + F.size("y") - both, percent)).select("a", "b")
+        """The links among pairs (hub, node), as (a, b)."""
+        both = F.size(F.array_intersect("x", "h"))
+        return _with_sets(pairs, sets).filter(_same(both, F.size("x") + F.size("h") - both, percent)).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
     def fits(n: Column, m: Column) -> Column:
         return _same(F.least(n, m), F.greatest(n, m), percent)
 
     # every member against the one of its bucket that meets most others
+    count = met.count()
     weight = met.groupBy("node").agg(F.sum("met").alias("weight"))
     lead = met.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
     lead = scratch.put("lead", lead.select("bucket", F.col("lead.node").alias("hub"), F.col("lead.n").alias("m"), F.col("lead.weight").alias("weight")))
-    held = met.join(lead, "bucket").filter("node <> hub")
-    tried = held.filter(fits(F.col("n"), F.col("m"))).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    tried = scratch.put("tried", tried)
-    links = scratch.put("links-hub", confirmed(tried))
+    held = spread_join(met.select("bucket", "node", "n"), lead.select("bucket", "hub", "m"), "bucket", "node", count).filter("node <> hub")
+    tried = held.filter(fits(F.col("n"), F.col("m"))).groupBy(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.max("hub").alias("hub"))
+    tried = scratch.put("tried", tried.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"), "a", "b"))
+    links = scratch.put("links-hub", confirmed(tried.select("hub", "node")))
     roots = components(links, scratch, "roots-hub")
-    rest = _open(met, roots)
+    rest = _open(met, roots, count)
     if not rest.isEmpty():
         rest = scratch.put("open", rest)
-        small = rest.filter(F.col("met") <= SMALL)
-        left, right = small.select("bucket", F.col("node").alias("a"), "n", "root"), small.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+        few = rest.filter(F.col("met") <= SMALL)
+        left, right = few.select("bucket", F.col("node").alias("a"), "n", "root"), few.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
         pairs = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("other")) & fits(F.col("n"), F.col("m"))).select("a", "b")
-        large = rest.filter(F.col("met") > SMALL).join(lead.select("bucket", "hub", "weight"), "bucket")
-        if not large.isEmpty():
+        many = rest.filter(F.col("met") > SMALL)
+        if not many.isEmpty():
+            large = spread_join(many, lead.select("bucket", "hub", "weight"), "bucket", "node", count)
             # a member's top is the heaviest hub that it meets, or that this hub meets; a bucket whose members have one top is covered there
             top = large.groupBy("node").agg(F.max(F.struct("weight", "hub")).alias("top")).select("node", F.col("top.hub").alias("top"))
             for jump in range(JUMPS):
                 top = scratch.put(f"top-{jump}", top)
-                top = top.join(top.select(F.col("node").alias("top"), F.col("top").alias("above")), "top", "left").select("node", F.coalesce("above", "top").alias("top"))
+                above = top.select(F.col("node").alias("top"), F.col("top").alias("above"))
+                top = top.join(spread_join(top, above, "top", "node", count).select("node", "above"), "node", "left").select("node", F.coalesce("above", "top").alias("top"))
             top = scratch.put("top", top)
-            covered = large.select("bucket", "node").join(top, "node").groupBy("bucket").agg(F.min("top").alias("p"), F.max("top").alias("q")).filter("p = q").select("bucket", F.col("p").alias("top"))
-            large = large.join(covered, "bucket", "left").withColumn("hub", F.coalesce("top", "hub")).filter("node <> hub").select("hub", "node", "root").distinct()
-            pairs = pairs.union(_by_difference(large, sets, scratch, percent / 100))
-        pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+            covered = many.select("bucket", "node").join(top, "node").groupBy("bucket").agg(F.min("top").alias("p"), F.max("top").alias("q")).select("bucket", F.when(F.col("p") == F.col("q"), F.col("p")).alias("top"))
+            hubs = lead.select("bucket", "hub").join(covered, "bucket").select("bucket", F.coalesce("top", "hub").alias("hub"))
+            members = spread_join(many, hubs, "bucket", "node", count).filter("node <> hub").select("hub", "node", "root").distinct()
+            pairs = pairs.union(_by_difference(scratch.put("members", members), sets, scratch, percent / 100))
+        pairs = scratch.put("pairs", pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("node")))
         links = links.union(scratch.put("links-rest", confirmed(pairs)))
         roots = components(links, scratch, "roots-rest")
-    for name in ("met", "sets", "lead", "tried", "open", "each", "links-hub", "links-rest", "top", *(f"top-{jump}" for jump in range(JUMPS))):
+    for name in ("met", "sets", "lead", "tried", "open", "each", "links-hub", "links-rest", "members", "pairs", "nodes", "top", *(f"top-{jump}" for jump in range(JUMPS))):
         scratch.drop(name)
     return roots
 
 
-def _open(met: DataFrame, roots: DataFrame) -> DataFrame:
+def _open(met: DataFrame, roots: DataFrame, count: int) -> DataFrame:
     """Members of the buckets that still hold more than one group, with their roots."""
     known = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = known.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("bucket")
-    return known.join(split, "bucket", "left_semi").select("bucket", "node", "n", "root", "met")
+    return spread_join(known, split, "bucket", "node", count).select("bucket", "node", "n", "root", "met")
 
 
 def _by_difference(members: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
@@ -262,9 +284,7 @@ def _by_difference(members: DataFrame, sets: DataFrame, scratch: Scratch, share:
     A pair of which both are linked with the hub is in one group already; of other pairs, t is at least 1. As t depends on both sizes,
     what the hub has and a member has not is only met under equal classes of both sizes, as far as the prefix for these reaches."""
     q = (1 - share) / (1 + share)
-    one, hub = sets.select("node", F.col("elements").alias("x")), sets.select(F.col("node").alias("hub"), F.col("elements").alias("h"))
-    apart = members.join(one, "node").join(hub, "hub")
-    apart = apart.select("hub", "node", "root", F.size("x").alias("n"), F.size("h").alias("m"), F.array_sort(F.array_except("x", "h")).alias("more"), F.array_sort(F.array_except("h", "x")).alias("less"))
+    apart = _with_sets(members, sets).select("hub", "node", "root", F.size("x").alias("n"), F.size("h").alias("m"), F.array_sort(F.array_except("x", "h")).alias("more"), F.array_sort(F.array_except("h", "x")).alias("less"))
     apart = apart.withColumn("own", F.size("more")).withColumn("size", F.col("own") + F.size("less")).filter("size > 0")
     apart = apart.withColumn("linked", F.col("size") <= q * (F.col("n") + F.col("m")) + 1e-6)
 
@@ -304,27 +324,27 @@ def _named_sets(batches: Iterator, width: int) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), got.column(1)], ["node", "elements"])
 
 
-def _with_class(batches: Iterator, place: int, width: int) -> Iterator:
+def _with_class(batches: Iterator, place: int, width: int, name: str) -> Iterator:
     """The rows as they are, and the name of each one's class."""
     import pyarrow as pa
 
     for batch in batches:
         pair = pa.RecordBatch.from_arrays([batch.column(place), batch.column(place)], ["id", "text"])
         nodes = [got.column(0) for got in _named_sets([pair], width)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(nodes) if nodes else pa.array([], pa.binary())], [*batch.schema.names, "__node"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(nodes) if nodes else pa.array([], pa.binary())], [*batch.schema.names, name])
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH) -> DataFrame:
     """The rows of docs without all but one of each group: a row of the least id stays, null the last. A row without shingles is a
     group of its own. Ids may be null or repeat: rows then are told apart by id and class."""
     profiles, found = _classes(docs, key, text, percent, width)
-    scratch = Scratch(docs.sparkSession, "kept")
+    scratch, id_, node, own = Scratch(docs.sparkSession, "kept"), fresh(docs, "kept_id"), fresh(docs, "kept_class"), fresh(docs, "class")
     if _ids_name_rows(profiles):
-        kept = scratch.put("kept", found.filter("id = component_id").select(F.col("id").alias("__kept")))
-        return docs.join(kept, F.col(key) == F.col("__kept"), "left_semi")
+        gone = scratch.put("gone", found.filter("id <> component_id").select(F.col("id").alias(id_)))
+        return docs.join(small(gone), F.col(key) == F.col(id_), "left_anti")
     least = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("x"))
-    kept = scratch.put("kept", least.select(F.col("x.id").alias("__kept"), F.col("x.node").alias("__class")))
+    kept = scratch.put("kept", least.select(F.col("x.id").alias(id_), F.col("x.node").alias(node)))
     worded, place = F.coalesce(F.col(text).rlike(WORD), F.lit(False)), docs.columns.index(text)
-    classed = docs.filter(worded).mapInArrow(lean(lambda b: _with_class(b, place, width)), StructType([*docs.schema.fields, StructField("__node", BinaryType())]))
-    one = classed.join(kept, (F.col("__node") == F.col("__class")) & F.col(key).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["__node"])
-    return docs.filter(~worded).union(one.drop("__node"))
+    classed = docs.filter(worded).mapInArrow(lean(lambda b: _with_class(b, place, width, own)), StructType([*docs.schema.fields, StructField(own, BinaryType())]))
+    one = classed.join(kept, (F.col(own) == F.col(node)) & F.col(key).eqNullSafe(F.col(id_)), "left_semi").dropDuplicates([own])
+    return docs.filter(~worded).union(one.drop(own))
