@@ -93,9 +93,9 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def salt(by: str | Column, rows: int) -> Column:
+def salt(by: str | Column, rows: int | Column) -> Column:
     """The share of its key that a row belongs to, where one key may hold all ``rows``."""
-    return F.pmod(F.xxhash64(by), F.lit(1 + rows // SPREAD))
+    return F.pmod(F.xxhash64(by), F.lit(1) + F.floor((F.lit(rows) if isinstance(rows, int) else rows) / SPREAD))
 
 
 def spread_join(rows: DataFrame, few: DataFrame, on: str, by: str, count: int) -> DataFrame:

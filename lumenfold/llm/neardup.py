@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -183,10 +184,10 @@ def _classes(docs: DataFrame, key: str, text: str, percent: int, width: int) ->
     worded = profiles.filter("n > 0")
     classes = scratch.put("classes", worded.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     # the buckets that several classes meet in; a bucket is counted by shares of its members, and each share is told the whole count
-    slots = classes.select("node", "id", "n", F.explode("bands").alias("bucket")).withColumn("share", salt("node", BANDS * classes.count()))
-    shares = slots.groupBy("bucket", "share").agg(F.count("*").alias("met"))
-    shared = shares.groupBy("bucket").agg(F.sum("met").alias("met")).filter("met > 1")
-    met = scratch.put("met", slots.join(shares.select("bucket", "share").join(shared, "bucket"), ["bucket", "share"]).drop("share"))
+    slots = classes.select("node", F.explode("bands").alias("bucket")).withColumn("share", salt("node", BANDS * classes.count()).cast("int")).repartition("bucket", "share")
+    shares = slots.groupBy("bucket", "share").agg(F.count("*").alias("met")).withColumn("met", F.sum("met").over(W.partitionBy("bucket"))).filter("met > 1")
+    met = slots.join(shares, ["bucket", "share"]).select("bucket", "node", "met")
+    met = scratch.put("met", met.join(classes.select("node", "id", "n"), "node"))
     roots = None
     if not met.isEmpty():
         roots = _grouped(docs, profiles, met, scratch, key, text, percent, width)
@@ -203,7 +204,8 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (hub, node, ...), a written table, with the hub's elements h and the node's elements x.
 
     A hub may have any number of nodes: they are dealt out into shares, each of which gets the hub's set once."""
-    dealt = pairs.withColumn("share", salt("node", pairs.count()))
+    each = spread_join(pairs, pairs.groupBy("hub").agg(F.count("*").alias("nodes")), "hub", "node", pairs.count())
+    dealt = each.withColumn("share", salt("node", F.col("nodes"))).drop("nodes")
     hubs = dealt.select("hub", "share").distinct().join(sets.select(F.col("node").alias("hub"), F.col("elements").alias("h")), "hub")
     return dealt.join(sets.select("node", F.col("elements").alias("x")), "node").join(hubs, ["hub", "share"]).drop("share")
 
