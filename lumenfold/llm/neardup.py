@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from lumenfold.llm.common import WORD, Scratch, fresh, lean, mix, pieces, salt, shingle_sets, small, spread_join, text_arrays
+from lumenfold.llm.common import BROADCAST_ROWS, WORD, Scratch, fresh, lean, mix, pieces, salt, shingle_sets, small, spread_join, text_arrays
 
 BANDS, ROWS, WIDTH = 32, 6, 5
 #: Members of a bucket whose pairs may be held against each other directly; larger buckets go by their difference from the hub.
@@ -185,7 +185,8 @@ def _classes(docs: DataFrame, key: str, text: str, percent: int, width: int) ->
     classes = scratch.put("classes", worded.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     # the buckets that several classes meet in; a bucket is counted by shares of its members, and each share is told the whole count
     slots = classes.select("node", F.explode("bands").alias("bucket")).withColumn("share", salt("node", BANDS * classes.count()).cast("int")).repartition("bucket", "share")
-    shares = slots.groupBy("bucket", "share").agg(F.count("*").alias("met")).withColumn("met", F.sum("met").over(W.partitionBy("bucket"))).filter("met > 1")
+    # counting the nodes, not the rows, reads the same shuffle as the join
+    shares = slots.groupBy("bucket", "share").agg(F.count("node").alias("met")).withColumn("met", F.sum("met").over(W.partitionBy("bucket"))).filter("met > 1")
     met = slots.join(shares, ["bucket", "share"]).select("bucket", "node", "met")
     met = scratch.put("met", met.join(classes.select("node", "id", "n"), "node"))
     roots = None
@@ -206,8 +207,12 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     A hub may have any number of nodes: they are dealt out into shares, each of which gets the hub's set once."""
     each = spread_join(pairs, pairs.groupBy("hub").agg(F.count("*").alias("nodes")), "hub", "node", pairs.count())
     dealt = each.withColumn("share", salt("node", F.col("nodes"))).drop("nodes")
-    hubs = dealt.select("hub", "share").distinct().join(sets.select(F.col("node").alias("hub"), F.col("elements").alias("h")), "hub")
-    return dealt.join(sets.select("node", F.col("elements").alias("x")), "node").join(hubs, ["hub", "share"]).drop("share")
+    few = pairs.count() <= BROADCAST_ROWS  # then the names go to the sets, else both are shuffled
+    names, shares = dealt, dealt.select("hub", "share").distinct()
+    if few:
+        names, shares = F.broadcast(names), F.broadcast(shares)
+    hubs = sets.select(F.col("node").alias("hub"), F.col("elements").alias("h")).join(shares, "hub")
+    return sets.select("node", F.col("elements").alias("x")).join(names, "node").join(hubs, ["hub", "share"]).drop("share")
 
 
 def _grouped(docs: DataFrame, profiles: DataFrame, met: DataFrame, scratch: Scratch, key: str, text: str, percent: int, width: int) -> DataFrame:
