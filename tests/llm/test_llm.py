@@ -159,6 +159,70 @@ def test_schedule_is_even(spark):
         assert all(abs(sum(x == n for _, x in plan[:k]) - share * k) < 4 for k in range(1, 150))
 
 
+def reversed_bits(k, bits):
+    return (int(f"{k:0{bits}b}"[::-1], 2) + 0.5) / 2**bits
+
+
+def test_points_are_van_der_corput(spark):
+    got = spark.range(300).select(mixing.van_der_corput(F.col("id"), 9).alias("x"), mixing.golden(F.col("id"), 9).alias("y")).collect()
+    assert [r.x for r in got] == [reversed_bits(k, 9) for k in range(300)]
+    assert all(r.y == pytest.approx((k + 0.5) * mixing.PHI % 1) for k, r in enumerate(got))
+
+
+@pytest.mark.parametrize("points", [mixing.van_der_corput, mixing.golden])
+def test_mix_is_its_schedule_by_brute_force(spark, points):
+    """taken, first_slot and slots of every document, by walking through the schedule slot by slot; another point set, another mix."""
+    draw = random.Random(31)
+    data = [(i, prose(draw.choice((0, 1, 7, 60, 300)), draw), draw.choice(("s1", "s1", "s1", "s2", "s3", None))) for i in range(150)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("order")).alias("h")).collect()}
+    got = {r.doc_id: r for r in mixing.mix_sources(docs, points=points).collect()}
+    sizes = {i: len(WORD.findall(t)) for i, t, _ in data}
+    sources = sorted({s for *_, s in data if s}) + [None]
+    total, slots = sum(sizes.values()), 1 << mixing.LEAST_BITS
+    target = {s: next(got[i].target for i, _, x in data if x == s) for s in sources}
+    edges = np.cumsum([target[s] for s in sources]) / sum(target.values())
+    values = np.array([reversed_bits(k, mixing.LEAST_BITS) if points is mixing.van_der_corput else (k + 0.5) * mixing.PHI % 1 for k in range(slots)])
+    owner = np.minimum(np.searchsorted(edges, values, side="right"), len(sources) - 1)
+    stretches = 1 + len(data) // mixing.STRETCH
+    for n, s in enumerate(sources):
+        mine = sorted((i for i, _, x in data if x == s and sizes[i]), key=lambda i: (order[i] % stretches, order[i], i))
+        stream = np.repeat(mine * mixing.MOST, [sizes[i] for i in mine] * mixing.MOST)
+        want = {i: [0, None, 0] for i in mine}
+        step, own = total / slots, np.flatnonzero(owner == n)
+        for rank, slot in enumerate(own.tolist()):
+            low, high = (min(len(stream), int(np.floor(k * step + 0.5))) for k in (rank, rank + 1))
+            for at in range(low, high):
+                row = want[int(stream[at])]
+                row[0] += 1
+                row[1] = slot if row[1] is None else min(row[1], slot)
+                row[2] += 1  # blocks are smaller than a word here
+        assert {i: [got[i].taken, got[i].first_slot, got[i].slots] for i in mine} == want
+    assert all(got[i].taken == 0 and got[i].first_slot is None for i, n in sizes.items() if not n)
+
+
+def test_mixed_rows_stand_in_schedule_order(spark):
+    draw = random.Random(32)
+    data = [(i, prose(draw.randint(1, 80), draw), "s%d" % min(3, i % 7)) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    slots = {r.doc_id: r.first_slot for r in mixing.mix_sources(docs).collect()}
+    out = [r.doc_id for r in mixing.mixed(docs).collect()]
+    firsts = [slots[i] for k, i in enumerate(out) if i not in out[:k]]
+    assert firsts == sorted(firsts)
+    taken, target, size = {}, {}, {r.doc_id: (r["size"], r.target) for r in mixing.mix_sources(docs).collect()}
+    for i in out:
+        s = data[i][2]
+        taken[s], target[s] = taken.get(s, 0) + size[i][0], size[i][1]
+    # whole documents: what is rounded away at the end of each source's stream is less than one document
+    assert all(abs(taken[s] - target[s]) <= 80 for s in target)
+
+
+def test_many_sources_pass_through_parts(spark):
+    sizes = spark.range(3000).selectExpr("concat('h', lpad(id, 5, '0')) AS source", "id % 50 AS source_size").repartition(9)
+    got = sorted((r.source, r.weight, r.target) for r in mixing.source_targets(sizes).collect())
+    assert [w for _, w, _ in got[:6]] == [5.0, 2.0, 1.0] * 2 and sum(t for *_, t in got) == pytest.approx(60 * 1225)
+
+
 def test_mixing_odd_rows(frames):
     got = mixing.mix_sources(frames["odd"]).collect()
     assert len(got) == 10 and all(r.taken <= 3 * r["size"] for r in got)
