@@ -2,10 +2,9 @@
 
 ``decode`` reads any GIF87a or GIF89a: global and local palettes, interlacing, transparency, the four disposal methods, delays and
 loop count. A code stream is cut at its clear codes; between two of them a code's width follows from how many codes came before it,
-so all codes of a stretch are read at once, and a code's string is a copy of earlier output. A stream of 9-bit literals, as
-``encode`` writes it, is read as one array after a check that it holds nothing else.
+so all codes of a stretch are read at once; a code's string is an earlier one and the byte that followed it.
 
-``encode`` stores bytes as grey 8-bit samples, 64 to a line, lossless, a frame for each 65,535 lines at most.
+``encode`` stores bytes as grey 8-bit samples, 64 to a line, lossless, in dictionary codes, a frame for each 65,535 lines at most.
 
 Defined results. Null text: an empty payload, padded to 64 bytes. Bytes that are not a GIF, or break off: what was complete before is
 kept, ``error`` says what broke. Null bytes: no frames, error 'null'. Equal texts give equal files. Other columns are left alone.
@@ -27,8 +26,8 @@ from lumenfold.llm.common import lean
 
 LINE, LINES = 64, 65_535
 _GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
-#: Literal codes between two clear codes: the most that leave the width at 9 bits.
-_RUN = 254
+#: Codes between two clear codes of an encoded stream: as many as leave the table one entry short of full.
+_RUN = 4096 - 258
 
 
 @dataclass
@@ -51,27 +50,43 @@ class Frame:
 # -- encoding
 
 
-def _literal_codes(samples: np.ndarray) -> bytes:
-    """The samples as 9-bit literal codes, a clear code before each run, an end code, in sub-blocks."""
-    n = len(samples)
-    runs = max(1, -(-n // _RUN))
-    codes = np.full(runs * (_RUN + 1) + 1, 257, np.uint16)
-    body = codes[:-1].reshape(runs, _RUN + 1)
-    body[:, 0] = 256
-    full = n // _RUN
-    body[:full, 1:] = samples[: full * _RUN].reshape(full, _RUN)
-    body[full:, 1 : 1 + n - full * _RUN] = samples[full * _RUN :]
-    codes = codes[: n + runs + 1]
-    codes[-1] = 257
-    bits = 9 * len(codes)
-    lanes = np.zeros((-(-len(codes) // 8), 8), np.uint16)
-    lanes.reshape(-1)[: len(codes)] = codes
-    packed = np.empty((len(lanes), 9), np.uint8)
-    packed[:, 0] = lanes[:, 0] & 255
-    for k in range(1, 8):
-        packed[:, k] = (lanes[:, k - 1] >> (9 - k)) | ((lanes[:, k] << k) & 255)
-    packed[:, 8] = lanes[:, 7] >> 1
-    return _blocks(packed.reshape(-1)[: -(-bits // 8)])
+def _code_stream(samples: bytes) -> bytes:
+    """The samples as LZW codes of initial size 8, a clear code before each table, an end code, in sub-blocks."""
+    codes: list[int] = []
+    cuts = []  # the places in codes after which a new table begins
+    table: dict[int, int] = {}
+    put, find = codes.append, table.get
+    free, last = 258, 258 + _RUN - 1
+    rest = iter(samples)
+    at = next(rest, -1)
+    for b in rest:
+        key = at << 8 | b
+        known = find(key)
+        if known is not None:
+            at = known
+            continue
+        put(at)
+        at = b
+        if free == last:
+            cuts.append(len(codes))
+            table.clear()
+            free = 258
+        else:
+            table[key] = free
+            free += 1
+    if at >= 0:
+        put(at)
+    _, widths = _widths(8)
+    all_codes, all_widths = [np.array([256], np.uint16)], [np.array([9])]
+    for a, b in zip([0, *cuts], [*cuts, len(codes)], strict=True):
+        all_codes.append(np.array([*codes[a:b], 257 if b == len(codes) else 256], np.uint16))
+        all_widths.append(widths[: b - a + 1])
+        if a == b == len(codes):  # the last table has no code
+            all_codes[-2][-1] = 256
+    code, width = np.concatenate(all_codes), np.concatenate(all_widths)
+    place = np.arange(12)
+    bits = (code[:, None] >> place.astype(np.uint16)) & np.uint16(1)
+    return _blocks(np.packbits(bits.astype(np.uint8)[place < width[:, None]], bitorder="little"))
 
 
 def _blocks(data: np.ndarray) -> bytes:
@@ -93,7 +108,7 @@ def encode(payload: bytes, delay_ms: int = 100) -> bytes:
     out = [b"GIF89a", struct.pack("<HHBBB", LINE, min(len(samples), LINES), 0xF7, 0, 0), _GREY]
     for at in range(0, len(samples), LINES):
         part = samples[at : at + LINES]
-        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_ms // 10, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, LINE, len(part), 0), b"\x08", _literal_codes(part.reshape(-1))]
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_ms // 10, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, LINE, len(part), 0), b"\x08", _code_stream(part.tobytes())]
     return b"".join([*out, b"\x3b"])
 
 
@@ -121,16 +136,6 @@ def _sub_blocks(data: np.ndarray, at: int) -> tuple[np.ndarray, int]:
         at += 1 + size
 
 
-def _codes_9(data: np.ndarray, count: int) -> np.ndarray:
-    """The first count 9-bit codes."""
-    lanes = -(-count // 8)
-    raw = np.zeros((lanes, 10), np.uint16)
-    flat = np.zeros(lanes * 9, np.uint8)
-    flat[: min(len(data), lanes * 9)] = data[: lanes * 9]
-    raw[:, :9] = flat.reshape(lanes, 9)
-    return np.stack([((raw[:, k] | (raw[:, k + 1] << 8)) >> k) & 511 for k in range(8)], axis=1).reshape(-1)[:count]
-
-
 def _widths(root: int) -> tuple[np.ndarray, np.ndarray]:
     """(bit offset, width) of the codes that follow a clear code, as many as fill the table, then 12 bits each."""
     first = (1 << root) + 2
@@ -143,13 +148,6 @@ def _widths(root: int) -> tuple[np.ndarray, np.ndarray]:
 def lzw(data: np.ndarray, root: int, size: int) -> np.ndarray:
     """The samples of a code stream of initial code size root, at most size of them."""
     clear, end = 1 << root, (1 << root) + 1
-    if root == 8:
-        runs = -(-size // _RUN)
-        codes = _codes_9(data, size + runs + 1)
-        heads = np.arange(runs) * (_RUN + 1)
-        body = np.delete(codes[:-1], heads)
-        if len(data) * 8 >= 9 * len(codes) and codes[-1] == end and (codes[heads] == clear).all() and (body < clear).all():
-            return body.astype(np.uint8)
     bits, total = np.unpackbits(data, bitorder="little"), len(data) * 8
     start, width = _widths(root)
     span = int(start[-1] + width[-1])
@@ -192,21 +190,23 @@ def _strings(codes: np.ndarray, clear: int, most: int) -> np.ndarray:
     """The output of the codes between two clear codes: entry clear + 2 + k is the k-th code's output and the next byte after it."""
     if (codes < clear).all():
         return codes.astype(np.uint8)[:most]
-    out, places = bytearray(), []
-    for k, code in enumerate(codes.tolist()):
-        if code < clear:
-            got = bytes((code,))
+    table = [bytes((k,)) for k in range(clear)] + [b"", b""]
+    out, last, done = [], b"", 0
+    for code in codes.tolist():
+        if code < len(table):
+            got = table[code]
+        elif code == len(table) and last:  # the entry that this very code completes
+            got = last + last[:1]
         else:
-            j = code - clear - 2
-            if not 0 <= j < k:
-                raise ValueError("a code that is not in the table")
-            place, length = places[j]
-            got = bytes(out[place : place + length + 1]) if place + length < len(out) else bytes(out[place : place + length]) + bytes(out[place : place + 1])
-        places.append((len(out), len(got)))
-        out += got
-        if len(out) >= most:
+            raise ValueError("a code that is not in the table")
+        if last and len(table) < 4096:
+            table.append(last + got[:1])
+        out.append(got)
+        last = got
+        done += len(got)
+        if done >= most:
             break
-    return np.frombuffer(bytes(out[:most]), np.uint8)
+    return np.frombuffer(b"".join(out), np.uint8)[:most]
 
 
 def _rows(height: int) -> np.ndarray:
@@ -361,29 +361,36 @@ def decode_frames(media: DataFrame, key: str = "doc_id", column: str = "media")
 
 
 def payload_digests(media: DataFrame, key: str = "doc_id", column: str = "media") -> DataFrame:
-    """One row for each GIF of ``encode_column``: what is read back from it, and features of the frames.
+    """One row for each GIF of ``encode_column``: what is read back from its composed frames, and features of these.
 
-    The samples are the frames' indices, which their grey palette leaves as they are. feature: frames, milliseconds, and the shares
-    of the pixels' colours in bins of 32 grey levels, in thousandths."""
+    A sample is what its pixel of the canvas shows, whose colour the grey palette makes of it. feature: frames, milliseconds, and the
+    shares of the pixels in eight ranges of grey levels, in thousandths. frames is an array of (starts_ms, delay_ms, width, height),
+    histogram counts the frames' colours by the upper two bits of red, green and blue."""
     import pyarrow as pa
 
     kind = media.schema[key].dataType.simpleString()
+    times = pa.struct([(n, pa.int32()) for n in ("starts_ms", "delay_ms", "width", "height")])
 
     def digests(batches: Iterator) -> Iterator:
         for batch in batches:
             rows = []
             for x, n in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = x.as_py()
-                digest, levels, size, tail, clock, frames = hashlib.sha256(), np.zeros(8, np.int64), 0, b"", 0, 0
-                for f in decode(raw, compose=False):
-                    # the palette is grey: a sample's red, green and blue are its index
-                    samples = f.indices.tobytes()
+                digest, levels, colours, size, tail, clock, frames = hashlib.sha256(), np.zeros(8, np.int64), np.zeros(64, np.int64), 0, b"", 0, []
+                for f in decode(raw):
+                    shown = f.canvas[f.top : f.top + f.height, f.left : f.left + f.width]
+                    samples = (shown & np.uint32(255)).astype(np.uint8)
+                    levels += np.bincount(samples.reshape(-1) >> 5, minlength=8)
+                    colours += f.histogram if shown.size == f.canvas.size else colour_histogram(shown)
+                    samples = samples.tobytes()
                     digest.update(samples)
-                    levels += np.bincount(f.indices.reshape(-1) >> 5, minlength=8)
-                    size, tail, clock, frames = size + len(samples), samples[-LINE:], clock + f.delay_ms, frames + 1
-                rows.append((n, size, digest.hexdigest(), zlib.crc32(tail), len(raw), hashlib.sha256(raw).hexdigest(), f"frames={frames};ms={clock};grey={'-'.join(str(1000 * int(v) // size) for v in levels)}"))
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return media.select(key, column, F.col("n_bytes")).mapInArrow(lean(digests), f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").withColumnRenamed("key", key)
+                    frames.append((clock, f.delay_ms, f.width, f.height))
+                    size, tail, clock = size + len(samples), samples[-LINE:], clock + f.delay_ms
+                feature = f"frames={len(frames)};ms={clock};grey={'-'.join(str(1000 * int(v) // size) for v in levels)}"
+                rows.append((n, size, digest.hexdigest(), zlib.crc32(tail), len(raw), hashlib.sha256(raw).hexdigest(), feature, [dict(zip(("starts_ms", "delay_ms", "width", "height"), t, strict=True)) for t in frames], colours.tolist()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 9
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(times), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["key", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "histogram"])
+
+    schema = f"key {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames array<struct<starts_ms:int,delay_ms:int,width:int,height:int>>, histogram array<long>"
+    return media.select(key, column, F.col("n_bytes")).mapInArrow(lean(digests), schema).withColumnRenamed("key", key)

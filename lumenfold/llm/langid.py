@@ -167,8 +167,10 @@ def train(docs: DataFrame, learnable: Column, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([c[a].astype(np.uint32).tobytes() for c, a in zip(got, at, strict=True)], pa.binary())], ["key", "lang", "at", "n"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = drawn.mapInArrow(lean(vectors), f"key {kind}, lang string, at binary, n binary").toArrow().to_pydict()
-    order = sorted(range(len(got["key"])), key=lambda i: (str(got["key"][i]), got["at"][i], got["n"][i], got["lang"][i]))[:sample]
+    # ids that repeat bring more rows: the first `sample` of them
+    first = drawn.mapInArrow(lean(vectors), f"key {kind}, lang string, at binary, n binary").orderBy(F.col("key").cast("string"), "at", "n", "lang").limit(sample)
+    got = first.toArrow().to_pydict()
+    order = range(len(got["key"]))
     languages = sorted({got["lang"][i] for i in order})
     if not languages:
         return Model([], idf, np.zeros((DIM, 0)), np.zeros(0), 1.0)

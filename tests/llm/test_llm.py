@@ -234,6 +234,57 @@ def test_mixing_odd_rows(frames):
 # -- GIF
 
 
+def test_code_streams_are_the_plain_encoders(spark):
+    """Stored code streams are read by a plain LZW decoder, which gives the payload."""
+
+    def plain(data):
+        acc, bits, at, table, last, out, width = 0, 0, 0, None, None, [], 9
+        while True:
+            while bits < width:
+                acc |= data[at] << bits
+                at, bits = at + 1, bits + 8
+            code, acc, bits = acc & (1 << width) - 1, acc >> width, bits - width
+            if code == 256:
+                table, last, width = [bytes([i]) for i in range(256)] + [b"", b""], None, 9
+                continue
+            if code == 257:
+                return b"".join(out)
+            entry = table[code] if code < len(table) else last + last[:1]
+            if last is not None:
+                table.append(last + entry[:1])
+            out.append(entry)
+            last, width = entry, min(12, max(9, len(table).bit_length()))
+
+    draw = random.Random(6)
+    for n in (64, 64 * 3, 64 * 97, 64 * 700):
+        for make in (lambda: bytes(n), lambda: draw.randbytes(n), lambda: prose(n // 2, draw).encode()[:n].ljust(n, b"\0")):
+            payload = make()
+            media = gifmedia.encode(payload)
+            body, _ = gifmedia._sub_blocks(np.frombuffer(media, np.uint8), len(media) - 1 - _tail(media))
+            assert plain(body.tobytes()) == payload == b"".join(f.indices.tobytes() for f in gifmedia.decode(media))
+    assert len(gifmedia.encode(prose(3000, draw).encode()[: 64 * 100])) < 64 * 100
+
+
+def _tail(media):
+    """Bytes from the first sub-block of the only frame to the trailer."""
+    at = 13 + 768 + 8 + 10 + 1
+    return len(media) - 1 - at
+
+
+def test_query_features_by_brute_force(spark):
+    texts = ["", "plain words " * 30, "ÄÖ" * 500, "\x00\x7f" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in gifmedia.payload_digests(gifmedia.encode_column(docs)).collect():
+        payload = gifmedia.pad(texts[r.doc_id].encode())
+        levels = [sum(b >> 5 == k for b in payload) for k in range(8)]
+        assert r.feature == f"frames=1;ms=100;grey={'-'.join(str(1000 * n // len(payload)) for n in levels)}"
+        assert [tuple(f) for f in r.frames] == [(0, 100, 64, len(payload) // 64)]
+        want = [0] * 64
+        for b in payload:
+            want[(b >> 6) * 21] += 1
+        assert r.histogram == want and r.payload_sha256 == hashlib.sha256(payload).hexdigest()
+
+
 def lzw_encoded(data, root):
     """A plain LZW encoder, independent of the one under test."""
     clear, out, acc, bits = 1 << root, bytearray(), 0, 0
@@ -340,6 +391,62 @@ def test_language_id_learns_and_generalises(spark, frames):
     assert langid.identify_languages(frames["none"]).count() == 0
 
 
+def test_ftrl_is_the_plain_one():
+    """Per row and coordinate, as McMahan et al. write it, for batches of one row."""
+    draw = np.random.default_rng(3)
+    data = [(at := np.sort(draw.choice(40, 6, replace=False)), draw.random(6)) for _ in range(60)]
+    labels = draw.integers(0, 3, 60)
+    got, bias = langid.ftrl(data, labels, 3, epochs=2, batch=1, seed=4)
+    z, n, order = {}, {}, np.random.default_rng(4)
+
+    def weight(k, c):
+        x, penalty = z.get((k, c), 0.0), 0.0 if k == "bias" else 0.02
+        return 0.0 if abs(x) <= penalty else (np.sign(x) * penalty - x) / ((1.0 + np.sqrt(n.get((k, c), 0.0))) / 1.0 + 0.05)
+
+    for _ in range(2):
+        for i in order.permutation(60):
+            row = [*zip(data[i][0].tolist(), data[i][1].tolist()), ("bias", 1.0)]
+            scores = np.array([sum(weight(k, c) * v for k, v in row) for c in range(3)])
+            shares = np.exp(scores - scores.max())
+            shares /= shares.sum()
+            for c in range(3):
+                for k, v in row:
+                    g, w, old = (shares[c] - (labels[i] == c)) * v, weight(k, c), n.get((k, c), 0.0)
+                    z[k, c] = z.get((k, c), 0.0) + g - (np.sqrt(old + g * g) - np.sqrt(old)) * w
+                    n[k, c] = old + g * g
+    assert got[:40] == pytest.approx(np.array([[weight(k, c) for c in range(3)] for k in range(40)]), abs=1e-9)
+    assert bias == pytest.approx(np.array([weight("bias", c) for c in range(3)]), abs=1e-9)
+
+
+def test_samples_are_bounded_where_ids_repeat(spark):
+    data = [(i % 3, f"wort nummer {i} hier", "de") for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = langid.train(docs, F.lit(True), sample=20)
+    assert model.languages == ["de"]
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    sizes = []
+    keep, toxicity.fit = toxicity.fit, lambda docs, *rest: sizes.append(len(docs)) or keep(docs, *rest)
+    try:
+        toxicity.train(docs, labels, sample=20)
+    finally:
+        toxicity.fit = keep
+    assert sizes == [40]
+
+
+def test_noisy_or_by_hand():
+    """Document and sentence scores from the weights, by the plain formula; offending sentences where brute force finds them."""
+    text = "Alpha beta. Bad! bad bad? gut\nÄhem bad\rso, bad. "
+    raw = np.frombuffer(text.encode(), np.uint8)
+    bucket = int(toxicity.words(np.frombuffer(b"bad", np.uint8), np.array([0, 3]))[0][0])
+    model = toxicity.Model(np.zeros(toxicity.DIM, np.float32), -4.0)
+    model.weights[bucket] = 2.5
+    p = [1 / (1 + np.exp(4.0 - 2.5 * len(re.findall(r"(?i)\bbad\b", x)))) for x in re.findall(r"[^.!?\n\r]*[a-zA-Zä][^.!?\n\r]*", text)]
+    assert model.scores(raw, np.array([0, len(raw)]))[0] == pytest.approx(1 - np.prod([1 - x for x in p]))
+    spans = [(m.start(), m.end()) for m in re.finditer(r"[^.!?\n\r]+[.!?\n\r]?", text) if "bad" in m[0].lower()]
+    assert [(a, b) for a, b, _ in model.locate(text, 0.15)] == spans and [x for *_, x in model.locate(text, 0.15)] == pytest.approx([x for x in p if x > 0.15])
+    assert len(model.locate(text, 0.6)) == 1 and model.locate("gut", 0.1) == []
+
+
 def test_temperature_softens_wrong_confidence():
     scores, labels = np.array([[9.0, 0.0]] * 10), np.array([0] * 6 + [1] * 4)
     assert langid.temperature(scores, labels) > 5
@@ -363,6 +470,8 @@ def test_toxicity_finds_sentences(spark, frames):
     model = toxicity.train(docs, labels)
     found = toxicity.locate(docs.filter("doc_id = 6"), model).collect()
     assert len(found) == 1 and any(w in found[0].sentence for w in bad) and data[6][1][found[0].begin : found[0].end] == found[0].sentence
+    hits = [(any(w in data[i][1][a:b] for w in bad)) for i, r in got.items() if r.predicted for a, b, _ in r.offending]
+    assert all(bool(r.offending) == bool(r.predicted) for r in got.values()) and np.mean(hits) > 0.95
     clean = toxicity.without_toxic(docs, labels)
     assert clean.columns == docs.columns and 700 < clean.count() < 800
     assert toxicity.toxicity(frames["odd"], labels).count() == 10
