@@ -561,6 +561,99 @@ def test_surrogates_keep_type_format_and_coreference(spark, frames):
     assert sorted(r.text.count("\ue000") for r in marked) == [1, 2] and not any("b@c." in r.text for r in marked)
 
 
+def brute_entities(text):
+    """(kind, begin, end) of a text by plain code, for the forms that these tests write."""
+    import ipaddress
+
+    out = []
+    for m in re.finditer(r"\S+", text):
+        word = m[0].strip("()<>,;.\"'!?")
+        at = m.start() + m[0].find(word)
+        digits = re.sub(r"\D", "", word)
+        if re.fullmatch(r"[\w.%+-]+@(?:[\w-]+\.)+[^\W\d_]{2,}", word):
+            out.append(("email", at, at + len(word)))
+        elif word.count(".") == 3 and all(x.isdigit() for x in word.split(".")):
+            try:
+                ipaddress.ip_address(word)
+                out.append(("ipv4", at, at + len(word)))
+            except ValueError:
+                pass
+        elif re.fullmatch(r"\d{3}-\d{2}-\d{4}", word):
+            out.append(("ssn", at, at + len(word)))
+        elif re.fullmatch(r"\d{3}[.-]\d{3}[.-]\d{4}", word):
+            out.append(("phone", at, at + len(word)))
+        elif re.fullmatch(r"\d{13,19}|\d{4}-\d{4}-\d{4}-\d{4}", word):
+            total = sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits)))
+            if total % 10 == 0:
+                out.append(("card", at, at + len(word)))
+    return out
+
+
+def test_entities_are_those_of_brute_force(spark):
+    draw = random.Random(41)
+    number = lambda n: "".join(draw.choices("0123456789", k=n))
+
+    def card():
+        body = "4" + number(14)
+        return next(body + str(d) for d in range(10) if sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(body + str(d)))) % 10 == 0)
+
+    makers = [
+        lambda: f"{prose(1, draw)}.{number(2)}@{prose(1, draw)}.example.com", lambda: f"jürgen{number(3)}@müller-{prose(1, draw)}.de", lambda: ".".join(str(draw.randrange(300)) for _ in range(4)), card, lambda: "-".join(re.findall("....", card())),
+        lambda: number(16), lambda: f"{number(3)}-{number(2)}-{number(4)}", lambda: f"{number(3)}.{number(3)}.{number(4)}", lambda: number(7), lambda: f"v{number(1)}.{number(1)}", lambda: f"({prose(1, draw)}@b.example.org)",
+    ]
+    texts = [" ".join(draw.choice(makers)() if draw.random() < 0.2 else prose(1, draw) for _ in range(60)) for _ in range(150)]
+    docs = spark.createDataFrame(rows(*texts), SCHEMA)
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    forward, found, missed = {}, 0, 0
+    for i, t in enumerate(texts):
+        want = brute_entities(t)
+        found += len(want)
+        assert [e.kind for e in got[i].entities] == [k for k, *_ in want]
+        at, rebuilt = 0, ""
+        for (kind, a, b), e in zip(want, got[i].entities, strict=True):
+            rebuilt += t[at:a] + e.surrogate
+            at = b
+            canon = t[a:b].lower() if kind == "email" else t[a:b] if kind == "ipv4" else re.sub(r"\D", "", t[a:b])
+            shown = e.surrogate.lower() if kind == "email" else e.surrogate if kind == "ipv4" else re.sub(r"\D", "", e.surrogate)
+            assert forward.setdefault((kind, canon), shown) == shown
+            missed += t[a:b] == e.surrogate
+        assert got[i].text == rebuilt + t[at:]
+    assert found > 500 and not missed and len(set(forward.values())) == len(forward) and not {(k, v) for (k, _), v in forward.items()} & set(forward)
+
+
+def test_names_go_by_gender_and_word(spark):
+    texts = ["Herr Alex Kimura", "Frau Alex Kimura", "Dr Alex Kimura", "Mr Lee and Mr Bob Lee and Mr. Bob Lee", "Dr. Ana María López came", "Mr Jan van der Berg left", "My name is Otto Weiss.", "Herr Anna-Lena Groß, Κύριος Νίκος Παππάς"]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(rows(*texts), SCHEMA), "k").collect()}
+    names = [got[i].split(" ", 1)[1] for i in range(3)]
+    assert len(set(names)) == 3 and len({n.split()[-1] for n in names}) == 1
+    lee, _, bob, _, again = re.fullmatch(r"Mr (\w+) and (Mr) (\w+ \w+) and (Mr\.) (\w+ \w+)", got[3]).groups()
+    assert bob == again and bob.endswith(" " + lee)
+    assert re.fullmatch(r"Dr\. [A-Z][a-z]+ [A-Z][a-z]+ [A-Z][a-z]+ came", got[4]) and not re.search("Ana|Mar|pez", got[4])
+    assert re.fullmatch(r"Mr [A-Z][a-z]+ van der [A-Z][a-z]+ left", got[5]) and "Berg" not in got[5]
+    assert re.fullmatch(r"My name is [A-Z][a-z]+ [A-Z][a-z]+\.", got[6]) and "Weiss" not in got[6]
+    assert re.fullmatch(r"Herr [A-Z][a-z]+ [A-Z][a-z]+, Κύριος [Α-Ω][α-ως]+ [Α-Ω][α-ως]+", got[7])
+    many = [f"{t} {g} Hill" for t in ("Mr", "Herr", "Mrs", "Dr") for g in ("".join(x).capitalize() for x in zip("abcdefghijklmnopqrst" * 2, "ou" * 20, "lmnrs" * 8, strict=False))]
+    pairs = {(m.split(" ", 1)[0], m.split(" ", 1)[1]): r.entities[0].surrogate.split(" ", 1)[1] for m, r in zip(many, sorted(pii.pseudonymise(spark.createDataFrame(rows(*many), SCHEMA), "k").collect(), key=lambda r: r.doc_id), strict=True)}
+    gender = {"Mr": "m", "Herr": "m", "Mrs": "f", "Dr": "n"}
+    own = {}
+    for (t, name), new in pairs.items():
+        assert own.setdefault((gender[t], name), new) == new
+    assert all(len({v for (h, _), v in own.items() if h == g}) == sum(h == g for h, _ in own) for g in "mf")
+
+
+def test_kept_columns_may_be_named_like_entities(spark):
+    docs = spark.createDataFrame([(1, "a@b.example.com", "x", 2, 3)], "doc_id long, text string, entities string, id int, pieces int")
+    out = pii.pseudonymise(docs, "k", keep=("entities", "id", "pieces"))
+    assert out.columns == ["doc_id", "text", "entities_", "entities", "id", "pieces"] and out.first()["entities"] == "x" and out.first()["id"] == 2
+
+
+def test_exhausted_surrogates_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    monkeypatch.setattr(pii, "surrogate", lambda kind, raw, canon, attempt, key: F.lit("9.9.9.9"))
+    with pytest.raises(ValueError, match="attempts"):
+        pii.pseudonymise(spark.createDataFrame(rows("1.2.3.4 and 1.2.3.5"), SCHEMA), "k").count()
+
+
 def test_colliding_surrogates_draw_again(spark, monkeypatch):
     """With a space of 90 * 1 * 1 * 254 addresses, 2,000 entities collide often and still get distinct surrogates."""
     plain = pii.surrogate
