@@ -5,8 +5,9 @@ to k = floor(rate * m) edits. Cut into k + 1 pieces, it then has a piece that oc
 pieces finds where items may be; hits on near diagonals make one window, and Myers' bit-parallel algorithm gives the least distance
 of the item to any part of the window. Nothing is sampled: every text is read whole, every hit is verified.
 
-The items are a stated query set: they are read in blocks of ``block`` characters of pieces, each block's automaton goes to the tasks
-with the code, and each block passes over the texts once. A benchmark of any size thus needs bounded memory.
+The items are a stated query set: they are read in blocks of ``block`` characters of pieces, one after the other. Each block's
+automaton goes to the tasks with the code and passes over the texts once; what it finds (or leaves) is written before the next block
+is read, so neither the driver nor a task holds more than one block. A benchmark of one block needs no table in between.
 
 Defined results. Null or blank texts match nothing; blank items are not looked for. An item too short to bear an edit must occur
 exactly, as whole words. Repeated texts and items: each row has its own matches. Null keys stay null keys. Other columns are ignored.
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.llm.common import lean
+from lumenfold.llm.common import Scratch, lean
 
 RATE, BLOCK = 0.08, 4_000_000
 _TABLE: list[np.ndarray] = []
@@ -148,12 +149,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"key {kind}, item {item_kind}, distance int, begin int, end int, budget int"
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
-    out = None
+    scratch, written, waiting = Scratch(spark, "leaks"), [], None
+    search = lambda part: texts.mapInArrow(_searched(part, rate, docs.schema[key].dataType, items.schema[item_key].dataType), schema)
     for part in _blocks(items.select(F.col(item_key), F.col(item_text)), block):
-        found = texts.mapInArrow(_searched(part, rate, docs.schema[key].dataType, items.schema[item_key].dataType), schema)
-        out = found if out is None else out.union(found)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+        if waiting is not None:
+            written.append(scratch.put(f"block-{len(written)}", search(waiting)))
+        waiting = part
+    out = spark.createDataFrame([], schema) if waiting is None else search(waiting)
+    for found in written:
+        out = out.union(found)
     return out.withColumnsRenamed({"key": key, "item": item_key})
 
 
@@ -195,10 +199,15 @@ def _searched(part: list[tuple[object, str]], rate: float, kind, item_kind):
 
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE, block: int = BLOCK) -> DataFrame:
     """The rows of docs that hold no item within its budget, judged where they lie, whatever their keys."""
-    place = docs.columns.index(text)
+    place, scratch, count, waiting = docs.columns.index(text), Scratch(docs.sparkSession, "clean"), 0, None
     for part in _blocks(items.select("item_id", "text"), block):
-        docs = docs.mapInArrow(_clean(part, rate, place), docs.schema)
-    return docs
+        if waiting is not None:
+            docs = scratch.put(f"block-{count}", docs.mapInArrow(_clean(waiting, rate, place), docs.schema))
+            if count:
+                scratch.drop(f"block-{count - 1}")
+            count += 1
+        waiting = part
+    return docs if waiting is None else docs.mapInArrow(_clean(waiting, rate, place), docs.schema)
 
 
 def _clean(part: list[tuple[object, str]], rate: float, place: int):

@@ -59,8 +59,8 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second crawl of all pages finds none of them modified; headers is one line for each header, in order. What is not resolved
-    has refers_to and length -1."""
+    """A revisit of each page, 20 pages after its capture, finds it not modified; headers is one line for each header, in order. What
+    is not resolved has refers_to and length -1."""
     found = resolve_revisits(page_records(_table(spark, sf_dir, "pages")))
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return found.withColumn("headers", F.array_join(lines, "\n")).fillna({"refers_to": -1, "length": -1}).withColumnRenamed("id", "page_id")
@@ -86,8 +86,10 @@ WITH u AS (SELECT page_id, coalesce(html, '') AS body, regexp_replace(trim(url),
 h AS (SELECT page_id, body, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^[^@]*@', ''), ':(80|443)$', ''), '^www[0-9]*[.]', '') AS host, regexp_replace(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', '') AS rest FROM u),
 q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|gclid|fbclid|msclkid|mc_cid|mc_eid|ref|sessionid|jsessionid|phpsessid)(=.*)?$'))) AS kept FROM h),
 c AS (SELECT page_id, body, md5(body) AS m, host || regexp_replace(regexp_replace(rest, '[?].*$', ''), '/+$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url FROM q),
-f AS (SELECT c.*, last, l.m AS last_m, octet_length(encode(l.body)) AS last_n FROM c JOIN (SELECT canonical_url, max(page_id) AS last FROM c GROUP BY canonical_url) USING (canonical_url) JOIN c l ON l.page_id = last)
-SELECT page_id, canonical_url, CASE WHEN m = last_m THEN last ELSE -1 END AS refers_to, CASE WHEN m = last_m THEN 'resolved' ELSE 'changed' END AS status,
-'age: 0' || chr(10) || 'cache-control: max-age=60' || chr(10) || CASE WHEN m = last_m THEN 'content-length: ' || cast(last_n AS varchar) || chr(10) || 'content-type: text/html' ELSE 'content-length: 0' END || chr(10) || 'etag: W/"' || substr(m, 1, 16) || '"' AS headers,
-CASE WHEN m = last_m THEN m END AS digest, CASE WHEN m = last_m THEN last_n ELSE -1 END AS length FROM f""",
+o AS (SELECT *, max(page_id) OVER (PARTITION BY canonical_url ORDER BY page_id RANGE BETWEEN UNBOUNDED PRECEDING AND 19 FOLLOWING) AS last FROM c),
+f AS (SELECT o.*, l.m AS last_m, l.body = '' AS last_empty, octet_length(encode(l.body)) AS last_n, CASE WHEN o.canonical_url IS NULL THEN 'no_url' WHEN o.body = '' OR l.body = '' THEN 'no_validator' WHEN o.m = l.m THEN 'resolved' ELSE 'changed' END AS status FROM o LEFT JOIN c l ON l.page_id = last AND l.canonical_url = o.canonical_url),
+x AS (SELECT *, status IN ('resolved', 'no_validator') AS found FROM f)
+SELECT page_id, canonical_url, CASE WHEN found THEN last ELSE -1 END AS refers_to, status,
+'age: 0' || chr(10) || 'cache-control: max-age=60' || chr(10) || CASE WHEN found THEN 'content-length: ' || cast(last_n AS varchar) || chr(10) || 'content-type: text/html' ELSE 'content-length: 0' END || CASE WHEN body <> '' THEN chr(10) || 'etag: W/"' || substr(m, 1, 16) || '"' WHEN found AND NOT last_empty THEN chr(10) || 'etag: "' || substr(last_m, 1, 16) || '"' ELSE '' END AS headers,
+CASE WHEN found THEN last_m END AS digest, CASE WHEN found THEN last_n ELSE -1 END AS length FROM x""",
 }

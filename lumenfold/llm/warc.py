@@ -8,8 +8,9 @@ not-modified reply may change (RFC 9110, 15.4.5 and RFC 9111, 3.2); those that d
 A canonical URL has no scheme, user, default port, leading www, fragment, trailing slash or tracking parameter, a lower-case host,
 and its parameters in order.
 
-The join needs no task to hold a URL's whole history: time is cut into ranges of about equal row counts; within a range and URL a
-window carries the last response on, and the last response of each range is carried to the ranges after it.
+The join needs no task to hold a URL's whole history: the records are written in ranges of time of about equal row counts, numbered
+in order; within a range and URL a window carries the last response on, and the last response of each range is carried to the
+ranges after it. No plan grows with the number of ranges.
 
 Defined results. Null URL: status ``no_url``. No earlier response: ``no_response``. A validator that is missing on either side:
 ``no_validator``, resolved all the same by URL and time; validators that differ: ``changed``, not resolved. Records of one time are
@@ -58,12 +59,11 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     scratch = Scratch(records.sparkSession, "warc")
     rows = records.select("id", "kind", canonical_url(F.col("url")).alias("url"), F.coalesce("time", F.lit(-(1 << 63))).alias("time"), "headers", "digest", "length").filter(F.col("kind").isin("response", "revisit"))
     rows = scratch.put("rows", rows)
-    cuts = max(1, rows.count() // RANGE_ROWS)
-    edges = rows.filter("url is not null").agg(F.percentile_approx("time", [i / cuts for i in range(1, cuts)], 10_000)).first()[0] if cuts > 1 else None
-    edges = sorted(set(edges or ()))
-    part = F.size(F.filter(F.array(*(F.lit(e).cast("long") for e in edges)), lambda e: e < F.col("time"))) if edges else F.lit(0)
     lost = rows.filter("url is null and kind = 'revisit'")
-    rows = rows.filter("url is not null").withColumn("part", part)
+    parts = 1 + rows.count() // RANGE_ROWS
+    rows = rows.filter("url is not null")
+    # the number of a range is written down with its rows, so it stays what it is if a task runs again
+    rows = scratch.put("ranges", rows.repartitionByRange(parts, "time", "id").withColumn("part", F.spark_partition_id())) if parts > 1 else rows.withColumn("part", F.lit(0))
     response = F.when(F.col("kind") == "response", F.struct(F.col("id"), F.col("headers"), F.col("digest"), F.col("length")))
     rows = rows.withColumn("own", response)
     # the last response of each range, carried to the ranges after it
@@ -71,7 +71,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     revisits = rows.filter("kind = 'revisit'").select("url", "part").distinct()
     ranges = last.join(revisits, ["url", "part"], "full")
     carried = ranges.select("url", "part", F.last("own", ignorenulls=True).over(W.partitionBy("url").orderBy("part").rowsBetween(W.unboundedPreceding, -1)).alias("carried")).filter("carried is not null")
-    within = W.partitionBy("url", "part").orderBy("time", "id", F.col("kind")).rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy("url", "part").orderBy("time", "id", "kind").rowsBetween(W.unboundedPreceding, -1)
     joined = rows.withColumn("near", F.last("own", ignorenulls=True).over(within)).filter("kind = 'revisit'").join(carried, ["url", "part"], "left").withColumn("found", F.coalesce("near", "carried"))
     found, reply = F.col("found"), F.col("headers")
     tag = [F.regexp_replace(F.element_at(h, "etag"), "^W/", "") for h in (found["headers"], reply)]
@@ -85,17 +85,22 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     return out.union(lost.select("id", none("canonical_url"), none("refers_to"), F.lit("no_url").alias("status"), "headers", none("digest"), none("length")))
 
 
+#: Pages that are captured between a page's response and its revisit.
+LAG = 20
+
+
 def page_records(pages: DataFrame) -> DataFrame:
-    """Two crawls of a table of pages (page_id, url, html): each page's full response at time page_id, and after them a revisit of
-    each, at time 2**40 + page_id, whose entity tag is that of the page's own body."""
+    """Captures of a table of pages (page_id, url, html): each page's full response at time page_id, and a revisit of it at time
+    page_id + LAG, which the URL's later captures may come before or after. Its entity tag is that of the page's own body, if it has one."""
     body = F.coalesce("html", F.lit(""))
-    tag = F.concat(F.lit('"'), F.substring(F.md5(F.encode(body, "UTF-8")), 1, 16), F.lit('"'))
+    tag = F.when(body != "", F.concat(F.lit('"'), F.substring(F.md5(F.encode(body, "UTF-8")), 1, 16), F.lit('"')))
     common = [F.col("url"), F.md5(F.encode(body, "UTF-8")).alias("digest"), F.octet_length(body).cast("long").alias("length")]
     stamp = F.col("page_id").cast("string")
 
     def headers(**named: Column) -> Column:
-        return F.create_map(*(x for k, v in named.items() for x in (F.lit(k.replace("_", "-")), v))).alias("headers")
+        every = F.create_map(*(x for k, v in named.items() for x in (F.lit(k.replace("_", "-")), v)))
+        return F.map_filter(every, lambda _, v: v.isNotNull()).alias("headers")
 
     full = pages.select(F.col("page_id").alias("id"), F.lit("response").alias("kind"), F.col("page_id").alias("time"), headers(content_type=F.lit("text/html"), content_length=F.octet_length(body).cast("string"), etag=tag, age=stamp), *common)
-    again = pages.select(F.col("page_id").alias("id"), F.lit("revisit").alias("kind"), (F.col("page_id") + (1 << 40)).alias("time"), headers(content_length=F.lit("0"), etag=F.concat(F.lit("W/"), tag), age=F.lit("0"), cache_control=F.lit("max-age=60")), *common)
+    again = pages.select(F.col("page_id").alias("id"), F.lit("revisit").alias("kind"), (F.col("page_id") + LAG).alias("time"), headers(content_length=F.lit("0"), etag=F.concat(F.lit("W/"), tag), age=F.lit("0"), cache_control=F.lit("max-age=60")), *common)
     return full.unionByName(again)

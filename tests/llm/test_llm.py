@@ -735,6 +735,17 @@ def test_revisits_resolve_as_of_their_time(spark):
     for i, (status, at) in want.items():
         if status == "resolved":
             assert got[i].headers["content-type"] == "text/html" and got[i].headers["age"] == str(i) and got[i].digest == f"d{at}"
+    # each page's revisit, by brute force over the captures before it, with very long bodies and clashing columns
+    long = "word " * 100_000
+    bodies = [(i, draw.choice(("http://p.example/", "http://q.example/a", None)), draw.choice(("", None, "x", "y", long)), "k", 1, "t") for i in range(1, 120)]
+    table = spark.createDataFrame(bodies, "page_id long, url string, html string, kind string, time int, part string")
+    seen = {r.id: r for r in warc.resolve_revisits(warc.page_records(table)).collect()}
+    for i, url, html, *_ in bodies:
+        last = max((b for b in bodies if url and b[1] == url and b[0] < i + warc.LAG), default=None)
+        body, other = html or "", (last[2] or "") if last else ""
+        status = "no_url" if url is None else "no_validator" if not body or not other else "resolved" if body == other else "changed"
+        assert (seen[i].status, seen[i].refers_to) == (status, last[0] if status in ("no_validator", "resolved") else None)
+    assert {r.status for r in seen.values()} == {"no_url", "no_validator", "resolved", "changed"}
     pages = spark.createDataFrame([(1, "http://p.example/", None), (2, None, "x"), (2, None, "x"), (3, "", "")], "page_id long, url string, html string")
     assert warc.resolve_revisits(warc.page_records(pages)).count() == 4
     assert warc.resolve_revisits(warc.page_records(pages.limit(0))).count() == 0
