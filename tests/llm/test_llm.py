@@ -494,6 +494,34 @@ def test_jump_moves_only_to_new_shards(spark):
     assert ((got.n7 == got.n2) | (got.n7 >= 2)).all() and ((got.n300 == got.n41) | (got.n300 >= 41)).all()
 
 
+def test_shards_are_those_of_plain_jump_hashing(spark):
+    """Shard, grown shard, size, checksum and slots of every row, with hashes from another library and the jumps one by one."""
+    import xxhash
+
+    def draw_of(key, i):
+        seed = 42 if key is None else xxhash.xxh64(str(key).encode(), seed=42).intdigest()
+        return ((xxhash.xxh64(i.to_bytes(4, "little"), seed=seed).intdigest() >> 11) + 1) / (1 << 53)
+
+    def jump(key, shards):
+        at, ahead, i = 0, 0, 0
+        while ahead < shards:
+            at, i = ahead, i + 1
+            ahead = min(shards, int((at + 1) / draw_of(key, i)))
+        return at
+
+    draw = random.Random(61)
+    data = [(draw.choice((None, *range(400))), draw.choice((None, "", prose(draw.randint(1, 30), draw), "ä€𝒜"))) for _ in range(900)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = sharding.shard_rows(docs, shards=40).collect()
+    for r in got:
+        assert r.shard == jump(r.doc_id, 40) and r.grown_shard == jump(r.doc_id, 41) and r.grown_shard in (r.shard, 40)
+    row = lambda i, t: (i, len((t or "").encode()) + 16, None if t is None else zlib.crc32(t.encode()))
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in got), key=str) == sorted((row(i, t) for i, t in data), key=str)
+    for k in range(40):
+        own = sorted(r.slot for r in got if r.shard == k)
+        assert own == list(range(len(own)))
+
+
 def test_slots_have_no_gaps(spark, frames):
     data = rows(*(prose(3) for _ in range(3000))) + [(77, "same", "en", "s", 0, "x", 0.0, 1, True)] * 9000
     got = sharding.shard_rows(spark.createDataFrame(data, SCHEMA)).toPandas()
@@ -842,6 +870,31 @@ def test_pipeline_is_its_stages(spark):
         assert stage(spark, empty, sf).count() == 0, name
 
 
+CLASHES = ("kept_id", "kept_class", "class", "share", "mix_key", "mix_mark", "mix_nth", "mix_slot", "mix_to", "own_mark", "own_nth", "node", "id", "hash", "bucket", "slot", "key", "score", "salt", "__kept", "__mix_key", "__leak_key")
+
+
+def test_stages_bear_columns_named_like_their_own(spark):
+    """Every stage with extra columns that have the names its operators use, which come back as they were."""
+    from lumenfold.llm.toxicity import without_toxic
+
+    draw = random.Random(71)
+    texts = [prose(40, draw) for _ in range(30)]
+    texts[5] = texts[4]
+    data = [(i, t, "s", *(f"{c}{i}" for c in CLASHES)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    items = spark.createDataFrame([(1, texts[7])], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    for stage, count in ((neardup.one_of_each, 29), (lambda d: decontam.without_leaks(d, items), 29), (mixing.mixed, 30), (lambda d: without_toxic(d, labels), 30)):
+        out = stage(docs)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == docs.columns and abs(len(got) - count) <= 1 and set(got) <= set(data)
+    twice = docs.union(docs.limit(3)).withColumn("doc_id", F.when(F.col("doc_id") > 20, None).otherwise(F.col("doc_id")))
+    for stage in (neardup.one_of_each, mixing.mixed):
+        assert stage(twice).columns == docs.columns and stage(twice).count() > 20
+    for operator in (neardup.near_duplicates, mixing.mix_sources, sharding.shard_rows, secretscan.find_secrets, lambda d: pii.pseudonymise(d, "k", keep=CLASHES), lambda d: gifmedia.payload_digests(gifmedia.encode_column(d)), lambda d: decontam.find_leaks(d, items), lambda d: toxicity.toxicity(d, labels), lambda d: langid.identify_languages(d.withColumn("lang", F.lit("en")))):
+        assert operator(docs).count() in (0, 1, 30)
+
+
 # -- rows that no id tells apart
 
 
