@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -52,41 +53,40 @@ class Frame:
 
 def _code_stream(samples: bytes) -> bytes:
     """The samples as LZW codes of initial size 8, a clear code before each table, an end code, in sub-blocks."""
-    codes: list[int] = []
-    cuts = []  # the places in codes after which a new table begins
-    table: dict[int, int] = {}
+    # codes are held shifted by 8 bits: or-ed with the next byte they are the key of the entry that goes on with it
+    codes: list[int] = [256 << 8]
+    sizes, table, free, last = [], {}, 258 << 8, 258 + _RUN - 1 << 8  # sizes: of the tables, in codes with the one that ends it
     put, find = codes.append, table.get
-    free, last = 258, 258 + _RUN - 1
     rest = iter(samples)
-    at = next(rest, -1)
+    at = next(rest, 0) << 8
     for b in rest:
-        key = at << 8 | b
-        known = find(key)
-        if known is not None:
-            at = known
-            continue
-        put(at)
-        at = b
-        if free == last:
-            cuts.append(len(codes))
-            table.clear()
-            free = 258
+        more = find(at | b)
+        if more is not None:
+            at = more
         else:
-            table[key] = free
-            free += 1
-    if at >= 0:
+            put(at)
+            if free == last:
+                put(256 << 8)
+                sizes.append(_RUN + 1)
+                table.clear()
+                free = 258 << 8
+            else:
+                table[at | b] = free
+                free += 256
+            at = b << 8
+    if samples:
         put(at)
-    _, widths = _widths(8)
-    all_codes, all_widths = [np.array([256], np.uint16)], [np.array([9])]
-    for a, b in zip([0, *cuts], [*cuts, len(codes)], strict=True):
-        all_codes.append(np.array([*codes[a:b], 257 if b == len(codes) else 256], np.uint16))
-        all_widths.append(widths[: b - a + 1])
-        if a == b == len(codes):  # the last table has no code
-            all_codes[-2][-1] = 256
-    code, width = np.concatenate(all_codes), np.concatenate(all_widths)
-    place = np.arange(12)
-    bits = (code[:, None] >> place.astype(np.uint16)) & np.uint16(1)
-    return _blocks(np.packbits(bits.astype(np.uint8)[place < width[:, None]], bitorder="little"))
+    put(257 << 8)
+    sizes.append(len(codes) - 1 - sum(sizes))
+    widths = _widths(8)[1]
+    width = np.concatenate([np.full(1, 9), *(widths[:n] for n in sizes)])
+    ends = np.cumsum(width)
+    begins = ends - width
+    code = np.array(codes, np.uint32) >> np.uint32(8) << (begins & 7).astype(np.uint32)  # 19 bits at most: what of them falls into each of three bytes
+    out = np.zeros(int(ends[-1] + 7) // 8 + 2, np.uint8)
+    for k in range(3):
+        np.add.at(out, (begins >> 3) + k, (code >> np.uint32(8 * k) & np.uint32(255)).astype(np.uint8))
+    return _blocks(out[:-2])
 
 
 def _blocks(data: np.ndarray) -> bytes:
@@ -136,6 +136,7 @@ def _sub_blocks(data: np.ndarray, at: int) -> tuple[np.ndarray, int]:
         at += 1 + size
 
 
+@cache
 def _widths(root: int) -> tuple[np.ndarray, np.ndarray]:
     """(bit offset, width) of the codes that follow a clear code, as many as fill the table, then 12 bits each."""
     first = (1 << root) + 2
@@ -148,37 +149,35 @@ def _widths(root: int) -> tuple[np.ndarray, np.ndarray]:
 def lzw(data: np.ndarray, root: int, size: int) -> np.ndarray:
     """The samples of a code stream of initial code size root, at most size of them."""
     clear, end = 1 << root, (1 << root) + 1
-    bits, total = np.unpackbits(data, bitorder="little"), len(data) * 8
+    total = len(data) * 8
+    raw = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.uint32)
+    raw = raw[:-2] | raw[1:-1] << np.uint32(8) | raw[2:] << np.uint32(16)  # the 24 bits from each byte on
     start, width = _widths(root)
+    masks = (1 << width) - 1
     span = int(start[-1] + width[-1])
     out, at, done = [], 0, 0
     while done < size:
-        offs, wide = start, width
-        if at + span > total:
-            keep = np.searchsorted(start + width, total - at, side="right")
-            offs, wide = start[:keep], width[:keep]
-        if not len(offs):
+        keep = len(start) if at + span <= total else int(np.searchsorted(start + width, total - at, side="right"))
+        if not keep:
             break
-        codes = np.zeros(len(offs), np.int64)
-        for b in range(12):
-            fits = wide > b
-            codes[fits] |= bits[at + offs[fits] + b].astype(np.int64) << b
+        place = at + start[:keep]
+        codes = (raw[place >> 3] >> (place & 7).astype(np.uint32)).astype(np.int64) & masks[:keep]
         stop = np.flatnonzero((codes == clear) | (codes == end))
-        more: list[int] = []
         if len(stop):
-            codes, final = codes[: stop[0]], int(codes[stop[0]])
-            at += int(offs[stop[0]] + wide[stop[0]])
-        else:  # the table is full: 12-bit codes go on until a clear code
-            at, final = at + int(offs[-1] + wide[-1]), -1
+            final = int(codes[stop[0]])
+            at += int(start[stop[0]] + width[stop[0]])
+            codes = codes[: stop[0]]
+        else:  # the table is full, or the stream breaks off: 12-bit codes go on until a clear code
+            at, final, more = at + int(start[keep - 1] + width[keep - 1]), -1, []
             while at + 12 <= total:
-                code = int(bits[at : at + 12].astype(np.int64) @ (1 << np.arange(12)))
+                code = int(raw[at >> 3]) >> (at & 7) & 4095
                 at += 12
                 if code in (clear, end):
                     final = code
                     break
                 more.append(code)
             codes = np.concatenate((codes, np.array(more, np.int64)))
-        part = _strings(codes, clear, size - done)
+        part = _strings(codes, clear)[: size - done]
         out.append(part)
         done += len(part)
         if final != clear:
@@ -186,27 +185,32 @@ def lzw(data: np.ndarray, root: int, size: int) -> np.ndarray:
     return np.concatenate(out)[:size] if out else np.zeros(0, np.uint8)
 
 
-def _strings(codes: np.ndarray, clear: int, most: int) -> np.ndarray:
-    """The output of the codes between two clear codes: entry clear + 2 + k is the k-th code's output and the next byte after it."""
+def _strings(codes: np.ndarray, clear: int) -> np.ndarray:
+    """The output of the codes between two clear codes: entry clear + 2 + k is the k-th code's output and the next byte after it.
+
+    All codes walk up their chains of earlier codes together: once to their first byte and length, once to write their bytes."""
     if (codes < clear).all():
-        return codes.astype(np.uint8)[:most]
-    table = [bytes((k,)) for k in range(clear)] + [b"", b""]
-    out, last, done = [], b"", 0
-    for code in codes.tolist():
-        if code < len(table):
-            got = table[code]
-        elif code == len(table) and last:  # the entry that this very code completes
-            got = last + last[:1]
-        else:
-            raise ValueError("a code that is not in the table")
-        if last and len(table) < 4096:
-            table.append(last + got[:1])
-        out.append(got)
-        last = got
-        done += len(got)
-        if done >= most:
-            break
-    return np.frombuffer(b"".join(out), np.uint8)[:most]
+        return codes.astype(np.uint8)
+    before = codes - clear - 2  # the code whose output an entry begins with
+    if (before >= np.arange(len(codes))).any():
+        raise ValueError("a code that is not in the table")
+    first, length, live = codes.copy(), np.ones(len(codes), np.int64), np.flatnonzero(before >= 0)
+    at = before[live]
+    while len(live):
+        length[live] += 1
+        on = before[at] >= 0
+        first[live[~on]] = codes[at[~on]]
+        live, at = live[on], before[at[on]]
+    ends = np.cumsum(length)
+    out = np.empty(int(ends[-1]), np.uint8)
+    out[ends - length] = first
+    live = np.flatnonzero(before >= 0)
+    at, place = before[live], ends[live] - 1
+    while len(live):
+        out[place] = first[at + 1]
+        on = before[at] >= 0
+        live, at, place = live[on], before[at[on]], place[on] - 1
+    return out
 
 
 def _rows(height: int) -> np.ndarray:
