@@ -271,13 +271,30 @@ def paired_backticks(t: Column) -> Column:
     return F.concat(fixed, F.substr(t, F.length(front) + 1))
 
 
+#: What a repair of prose leaves alone: code, links, shortcodes, HTML, addresses and steps up in a path.
+PROTECTED = r"(?s)```.*?```|`[^`\n]+`|!?\[[^\]\n]*\]\([^)\n]*\)|\{\{[<%].*?[>%]\}\}|<[A-Za-z/!][^>\n]*>|https?://\S+|(?:\.\./)+"
+TWO_PERIODS = r"(?<!\.)\.\.(?!\.)"
+
+
+def in_prose(text: Column, change: Callable[[Column], Column]) -> Column:
+    """text with its prose, what lies between protected spans, changed."""
+    def joined(x: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(x["prose"], lambda p, i: F.array(change(p), F.coalesce(F.get(x["kept"], i), F.lit(""))))), "")
+
+    return let(F.struct(F.split(text, PROTECTED, -1).alias("prose"), F.regexp_extract_all(text, F.lit(PROTECTED), F.lit(0)).alias("kept")), joined)
+
+
+def has_in_prose(text: Column, pattern: str) -> Column:
+    return F.exists(F.split(text, PROTECTED, -1), lambda p: p.rlike(pattern))
+
+
 GATES: dict[str, Check] = {
     "code_block": lambda s, t: F.size(fences(t)) < F.size(fences(s)),
     "heading_surplus": lambda s, t: count(t, HEADING) > count(s, HEADING) + 3,
     "heading_deficit": lambda s, t: count(t, r"(?m)^## ") < count(s, r"(?m)^## "),
     "front_matter_keys": lambda s, t: multiset_differs(keys_of(s), keys_of(t)),
     "front_matter_backticks": lambda s, t: reduce(lambda a, b: a | b, (count(field(t, n), "`") % 2 == 1 for n in BACKTICKED)),
-    "double_periods": lambda s, t: without_code(t).rlike(r"(?<!\.)\.\.(?!\.)") & ~without_code(s).rlike(r"(?<!\.)\.\.(?!\.)"),
+    "double_periods": lambda s, t: has_in_prose(t, TWO_PERIODS) & ~has_in_prose(s, TWO_PERIODS),
     "foreign_policy": lambda s, t: t.rlike(r"(?i)\b(GDPR|European (Union|Parliament|Commission))\b") & ~s.rlike(r"(?i)\b(GDPR|European (Union|Parliament|Commission))\b"),
     "table_rows": lambda s, t: (count(s, r"(?m)^\|") >= 4) & ((count(t, r"(?m)^\|") < 0.5 * count(s, r"(?m)^\|")) | (count(t, r"(?m)^\|") > 2 * count(s, r"(?m)^\|"))),
     "newline_explosion": lambda s, t: (_newlines(s) >= 10) & (_newlines(t) > 2.5 * _newlines(s)),
@@ -300,7 +317,7 @@ GATES: dict[str, Check] = {
     "markdown_syntax": lambda s, t: (count(t, r"\*\*") % 2 == 1) & (count(s, r"\*\*") % 2 == 0),
 }
 #: Gates whose objection is repaired in the text that the gates after them see.
-REPAIRS: dict[str, Callable[[Column], Column]] = {"double_periods": lambda t: F.regexp_replace(t, r"(?<!\.)\.\.(?!\.)", "."), "front_matter_backticks": paired_backticks}
+REPAIRS: dict[str, Callable[[Column], Column]] = {"double_periods": lambda t: in_prose(t, lambda p: F.regexp_replace(p, TWO_PERIODS, ".")), "front_matter_backticks": paired_backticks}
 
 
 def gate_report(pairs: DataFrame, source: str = "source", translation: str = "translation", names: tuple[str, ...] | None = None) -> DataFrame:
@@ -325,9 +342,12 @@ def write_decision(pairs: DataFrame, source: str = "source", translation: str =
 # -- units
 
 
+#: Fixed value: how short descriptions of an interface begin.
+SHORT_API = r"^(Gets?|Sets?|Indicates?|Enables?|Disables?|Represents?)\s"
+
+
 def unit_issues(kind: Column, s: Column, t: Column, non_latin: Column) -> Column:
     """The names of a unit's defects."""
-    short_api = r"^(Gets?|Sets?|Indicates?|Enables?|Disables?|Represents?)\s"
     prose = ratio(count(t, "[A-Za-z]"), letters(t)) > 0.85
     paragraphs = F.transform(F.split(t, r"\n\s*\n"), lambda p: F.trim(p))
     run = F.when(F.size(paragraphs) >= 3, F.exists(F.sequence(F.lit(0), F.size(paragraphs) - 3), lambda i: (F.get(paragraphs, i) != "") & (F.get(paragraphs, i) == F.get(paragraphs, i + 1)) & (F.get(paragraphs, i) == F.get(paragraphs, i + 2)))).otherwise(False)
@@ -337,7 +357,7 @@ def unit_issues(kind: Column, s: Column, t: Column, non_latin: Column) -> Column
         "inline_code": GATES["inline_code"](s, t),
         "empty": (F.length(s) > 20) & (F.length(t) < 0.1 * F.length(s)),
         "cell_growth": (kind == "cell") & (F.length(s) > 0) & (F.length(t) > 3 * F.length(s)),
-        "short_api_growth": non_latin & (F.length(s) <= 60) & s.rlike(short_api) & (F.length(t) > 3 * F.length(s)),
+        "short_api_growth": non_latin & (F.length(s) <= 60) & s.rlike(SHORT_API) & (F.length(t) > 3 * F.length(s)),
         "untranslated": non_latin & (kind == "heading") & ((s == t) | prose),
         "duplicate_run": run,
         "newlines": (_newlines(s) >= 3) & (_newlines(t) > 2.5 * _newlines(s)),

@@ -133,10 +133,10 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.latest(rows, ("user_id",), ORDER).select("user_id", "event_id", "site", "value")
 
 
-@query("SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN n.doc_id IS NULL THEN o.version ELSE n.version END AS version, CASE WHEN o.doc_id IS NULL THEN n.created ELSE o.created END AS created FROM (SELECT doc_id, 1 AS version, n_chars AS created FROM documents WHERE doc_id % 3 = 0) o FULL JOIN (SELECT doc_id, 2 AS version, -n_chars AS created FROM documents WHERE doc_id % 2 = 0) n ON o.doc_id = n.doc_id")
+@query("SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN n.doc_id IS NULL THEN o.version ELSE n.version END AS version, CASE WHEN o.doc_id IS NULL THEN n.created ELSE o.created END AS created FROM (SELECT doc_id, 1 AS version, n_chars AS created FROM documents WHERE lang <> 'en') o FULL JOIN (SELECT doc_id, 2 AS version, -n_chars AS created FROM documents WHERE n_chars >= 1000 OR lang = 'en') n ON o.doc_id = n.doc_id")
 def upsert_keep_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    old, new = docs.filter("doc_id % 3 = 0").selectExpr("doc_id", "1 AS version", "n_chars AS created"), docs.filter("doc_id % 2 = 0").selectExpr("doc_id", "2 AS version", "-n_chars AS created")
+    old, new = docs.filter("lang <> 'en'").selectExpr("doc_id", "1 AS version", "n_chars AS created"), docs.filter("n_chars >= 1000 OR lang = 'en'").selectExpr("doc_id", "2 AS version", "-n_chars AS created")
     return sets.upsert(old, new, ("doc_id",), kept=("created",))
 
 
@@ -146,10 +146,10 @@ def seen_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.insert_new(docs.limit(0).select("hash"), docs, ("hash",), ("doc_id",)).select("doc_id", "hash")
 
 
-@query(with_tables("SELECT user_id, site, last AS event_id FROM (SELECT user_id, site, max(event_id) AS last FROM metrics WHERE event_id % 3 = 0 GROUP BY user_id, site) LEFT JOIN (SELECT user_id, site, max(event_id) AS fixed FROM metrics WHERE event_id % 3 = 1 GROUP BY user_id, site) USING (user_id, site) WHERE fixed IS NULL OR fixed < last"))
+@query(with_tables("SELECT user_id, site, last AS event_id FROM (SELECT user_id, site, max(event_id) AS last FROM metrics WHERE value < 50 GROUP BY user_id, site) LEFT JOIN (SELECT user_id, site, max(event_id) AS fixed FROM metrics WHERE value >= 50 GROUP BY user_id, site) USING (user_id, site) WHERE fixed IS NULL OR fixed < last"))
 def unresolved_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logical(spark, sf_dir, "metrics").select("user_id", "site", "event_id")
-    return sets.unresolved(rows.filter("event_id % 3 = 0"), rows.filter("event_id % 3 = 1"), ("user_id", "site"), "event_id")
+    rows = logical(spark, sf_dir, "metrics").select("user_id", "site", "event_id", "value")
+    return sets.unresolved(rows.filter("value < 50"), rows.filter("value >= 50"), ("user_id", "site"), "event_id").drop("value")
 
 
 @query("SELECT md5(text) AS hash, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) >= 2")
@@ -163,11 +163,9 @@ def cross_source_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.shared_values(lines, "line", "source")
 
 
-@query(with_tables("WITH k AS (SELECT *, lower(trim(regexp_replace(translation, '\\s+', ' ', 'g'))) AS k FROM pairs) SELECT pair_id FROM k WHERE length(k) >= 5 AND k IN (SELECT k FROM k GROUP BY k HAVING min(source) <> max(source))"))
+@query("WITH k AS (SELECT doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS k FROM documents) SELECT doc_id FROM k WHERE length(k) >= 5 AND k IN (SELECT k FROM k GROUP BY k HAVING min(doc_id) <> max(doc_id))")
 def cross_unit_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lumenfold.sources.tables import pairs
-
-    return sets.same_rendering(pairs(spark, sf_dir), "source", "translation").select("pair_id")
+    return sets.same_rendering(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id")
 
 
 @query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(cast(doc_id AS varchar) || '|42'), doc_id) AS rn, greatest(1, floor(200.0 * count(*) OVER (PARTITION BY lang) / count(*) OVER ())) AS quota FROM documents) WHERE rn <= quota")
@@ -181,10 +179,10 @@ def accepted_sample_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.interleaved_sample(docs, ("source", "lang"), "doc_id", 25, F.col("doc_id") % 97 == 0).select("doc_id")
 
 
-@query("WITH s AS (SELECT lang, count(*) AS n FROM documents WHERE doc_id % 10 = 0 GROUP BY lang) SELECT round(0.6 * count(*) / (SELECT count(DISTINCT lang) FROM documents) + 0.4 * greatest(0, 1 - stddev_pop(n) / avg(n)), 6) AS score FROM s")
+@query("WITH s AS (SELECT lang, count(*) AS n FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY md5(cast(doc_id AS varchar) || '|42'), doc_id) AS rn, greatest(1, floor(200.0 * count(*) OVER (PARTITION BY lang) / count(*) OVER ())) AS quota FROM documents) WHERE rn <= quota GROUP BY lang) SELECT round(0.6 * count(*) / (SELECT count(DISTINCT lang) FROM documents) + 0.4 * greatest(0, 1 - stddev_pop(n) / avg(n)), 6) AS score FROM s")
 def sample_representativeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
-    return rounded(sets.representativeness(docs, docs.filter("doc_id % 10 = 0"), "lang"))
+    return rounded(sets.representativeness(docs, sets.stratified_sample(docs, "lang", "doc_id", 200), "lang"))
 
 
 @query("SELECT substr(sha256(string_agg(id, ',' ORDER BY id)), 1, 12) AS version FROM (SELECT cast(doc_id AS varchar) AS id FROM documents)")
@@ -228,16 +226,16 @@ def active_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.active(rows, ("user_id",), ORDER, datetime(2024, 1, 30)).select("user_id", "event_id")
 
 
-@query(with_tables("SELECT DISTINCT user_id, lang FROM metrics WHERE site = 'error' AND (user_id, lang) NOT IN (SELECT (user_id, lang) FROM (SELECT user_id, lang, site, row_number() OVER (PARTITION BY user_id, lang ORDER BY ts DESC) AS rn FROM metrics WHERE event_id % 2 = 0) WHERE rn = 1 AND site = 'click')"))
+@query(with_tables("SELECT DISTINCT user_id, lang FROM metrics WHERE site = 'error' AND (user_id, lang) NOT IN (SELECT (user_id, lang) FROM (SELECT user_id, lang, site, row_number() OVER (PARTITION BY user_id, lang ORDER BY ts DESC) AS rn FROM metrics WHERE site <> 'error') WHERE rn = 1 AND site = 'click')"))
 def missing_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = logical(spark, sf_dir, "metrics")
-    return sets.missing_receipts(rows.filter("site = 'error'"), rows.filter("event_id % 2 = 0").selectExpr("user_id", "lang", "ts", "site = 'click' AS passed"), ("user_id", "lang"))
+    return sets.missing_receipts(rows.filter("site = 'error'"), rows.filter("site <> 'error'").selectExpr("user_id", "lang", "ts", "site = 'click' AS passed"), ("user_id", "lang"))
 
 
-@query(with_tables("SELECT user_id, site, count(DISTINCT lang) AS n FROM (SELECT user_id % 40 AS user_id, site, lang FROM metrics) GROUP BY ALL HAVING count(DISTINCT lang) >= 3 OR count(DISTINCT lang) >= 1 AND false"))
+@query(with_tables("SELECT cast(cast(ts AS date) AS varchar(10)) AS day, site, count(DISTINCT lang) AS n FROM metrics GROUP BY ALL HAVING count(DISTINCT lang) >= 3"))
 def quarantined_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logical(spark, sf_dir, "metrics").selectExpr("user_id % 40 AS user_id", "site", "lang")
-    return ledger.quarantined(rows, ("user_id", "site"), "lang")
+    rows = logical(spark, sf_dir, "metrics").selectExpr("cast(cast(ts AS date) AS string) AS day", "site", "lang")
+    return ledger.quarantined(rows, ("day", "site"), "lang")
 
 
 @query(with_tables(_O + "SELECT user_id, CASE WHEN p = 0 THEN 'BLOCKED' WHEN r > 0 AND a = 0 THEN 'FAILED' WHEN r > 0 OR t > 0 THEN 'DEGRADED' ELSE 'CLEAN' END AS verdict, round(greatest(0, least(1, 1 - r / p)), 6) AS autonomy FROM (SELECT user_id, count(*) AS p, count(*) FILTER (WHERE verdict = 'APPROVE') AS a, count(*) FILTER (WHERE verdict = 'REJECT') AS r, count(*) FILTER (WHERE rate = 0) AS t FROM o GROUP BY user_id)"))

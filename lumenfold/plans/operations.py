@@ -35,10 +35,10 @@ def similar_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.similar_machines(logical(spark, sf_dir, "runs"), system_info(spark, sf_dir), 12, 5000.0, 500, 2, 1000.0).select("run_id")
 
 
-@query(with_tables("SELECT DISTINCT user_id, lang, 'click' AS retry_with FROM metrics WHERE site = 'error' AND (user_id, lang) NOT IN (SELECT (user_id, lang) FROM metrics WHERE site = 'click')"))
+@query(with_tables("SELECT DISTINCT user_id, cast(cast(ts AS date) AS varchar(10)) AS day, 'click' AS retry_with FROM metrics WHERE site = 'error' AND (user_id, cast(ts AS date)) NOT IN (SELECT (user_id, cast(ts AS date)) FROM metrics WHERE site = 'click')"))
 def untried_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logical(spark, sf_dir, "metrics").withColumnRenamed("site", "model_id")
-    return ops.untried_model(rows.filter("model_id = 'error'"), rows, ("user_id", "lang"), "click")
+    rows = logical(spark, sf_dir, "metrics").withColumnRenamed("site", "model_id").withColumn("day", F.to_date("ts").cast("string"))
+    return ops.untried_model(rows.filter("model_id = 'error'"), rows, ("user_id", "day"), "click")
 
 
 @query("SELECT doc_id, CASE WHEN lang = 'de' THEN 'pair' WHEN regexp_matches(text, '[0-9]{4}') THEN 'careful' ELSE 'general' END AS backend, round((CASE least(doc_id % 5 + 1, 3) WHEN 1 THEN 2.0 WHEN 2 THEN 4.0 ELSE 8.0 END) * (0.8 + 0.4 * (doc_id % 10) / 10.0), 6) AS delay, round((CASE doc_id % 4 WHEN 0 THEN 500 WHEN 1 THEN 1500 WHEN 2 THEN 5000 ELSE 10000 END) * (1 + 0.3 * (doc_id % 8)), 6) AS memory_mb, NOT (doc_id % 1440 >= 360 AND doc_id % 1440 < 1320) AS at_night, CASE WHEN doc_id % 7 = 0 THEN 'SKIP' WHEN doc_id % 5 >= 3 THEN 'CIRCUIT_BREAK' WHEN doc_id % 2 = 0 THEN 'RESUME' ELSE 'PROCEED' END AS action FROM documents")

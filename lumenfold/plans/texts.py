@@ -34,9 +34,7 @@ _ID = "cast(doc_id AS varchar(20))"
 SOURCE = _md(_lines("'---'", f"'title: \"Title ' || {_ID} || '\"'", "'description: \"About the part with `id` and more words here\"'", "'---'", "'# Head one'", "''", "text", "''", "'- item a'", "'- item b'", "'- item c'", "''", "'```py'", f"'print(' || {_ID} || ')'", "'```'", "''", "'See `code` and {{< note >}} range 18-22.'", "''", "'| a | b |'", "'|---|---|'", "'| 1 | 2 |'", "'| 3 | 4 |'", "''", "'## Part two'", "''", f"'Read [the page](http://h.example/' || {_ID} || ') now.'"))
 TARGET = _md(_lines("'---'", f"'title: \"' || {_case(1, chr(39) + 'A title that has become very much longer than it was ' + chr(39), chr(39) + 'Titel ' + chr(39))} || {_ID} || '\"'", _case(2, "'description: \"About the part with `id and more words here\"'", _case(3, "'description: \"' || repeat('very long ', 20) || '\"'", "'description: \"About the part with `id` and more words here\"'")), _case(4, "'extra: \"x\"'", "'---'"), _case(4, "'---'", "''"), "'# Head one'", _case(5, "'# Head' || chr(10) || '# Head' || chr(10) || '# Head' || chr(10) || '# Head' || chr(10)", "''"), _case(6, "repeat(chr(10), 60)", "text"), _case(7, "'I cannot help with that.'", "''"), _case(8, "''", "'- item a' || chr(10) || '- item b' || chr(10) || '- item c'"), "''", _case(9, "''", "'```py'"), f"'print(' || {_ID} || {_case(10, chr(39) + ' )' + chr(39), chr(39) + ')' + chr(39))}", "'```'", "''", f"'Siehe `' || {_case(11, 'chr(1082) || chr(1086) || chr(100)', chr(39) + 'code' + chr(39))} || '` und {{{{< note >}}}} Bereich ' || {_case(12, chr(39) + '1822' + chr(39), chr(39) + '18-22' + chr(39))} || {_case(13, chr(39) + '..' + chr(39), chr(39) + '.' + chr(39))}", _case(14, "'{PLACEHOLDER_3}'", "''"), "'| a | b |'", _case(15, "''", "'|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || '| 3 | 4 |'"), "''", _case(16, "''", "'## Part two'"), _case(17, "'The European Union says.'", "''"), _case(18, "'Lies die Seite.'", f"'Lies [die Seite](http://h.example/' || {_ID} || ').'"), _case(19, "'caf' || chr(195) || chr(169)", "''"), _case(20, "'{{% tip %}}'", "''"), _case(21, "'**bold'", "''")))
 TARGET = TARGET.replace("{{{{<", "{{<").replace(">}}}}", ">}}")
-#: The same pair of the first characters of each text only, of which the SQL of write_gates and heading_votes is made.
-HEAD_SOURCE, HEAD_TARGET = SOURCE.replace(" || text || ", " || substr(text, 1, 260) || "), TARGET.replace("ELSE text END", "ELSE substr(text, 1, 250) END")
-DOC_PAIRS = f"pairs_md AS (SELECT doc_id, {HEAD_SOURCE} AS s, {HEAD_TARGET} AS t FROM documents)"
+DOC_PAIRS = f"pairs_md AS (SELECT doc_id, {SOURCE} AS s, {TARGET} AS t FROM documents)"
 
 
 def _doc_pairs(spark: SparkSession, sf_dir: str, source: str = SOURCE, target: str = TARGET) -> DataFrame:
@@ -69,8 +67,8 @@ _GATES = {
 
 @query(f"WITH {DOC_PAIRS} SELECT doc_id, {', '.join(f'({v}) AS {k}' for k, v in _GATES.items())} FROM pairs_md")
 def write_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held to its SQL, so of the first characters of each text; write_gate_report has all gates on the whole text."""
-    return _doc_pairs(spark, sf_dir, HEAD_SOURCE, HEAD_TARGET).select("doc_id", *(quality.GATES[g](F.col("s"), F.col("t")).alias(g) for g in _GATES))
+    """The gates that SQL can say; write_gate_report has all."""
+    return _doc_pairs(spark, sf_dir).select("doc_id", *(quality.GATES[g](F.col("s"), F.col("t")).alias(g) for g in _GATES))
 
 
 @query()
@@ -159,9 +157,13 @@ def tm_exact_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("request_id").alias("doc_id"), tier.cast("bigint").alias("tier"), F.col("source").alias("source_kind"))
 
 
-@query(with_tables("WITH d AS (SELECT DISTINCT source, translation FROM pairs WHERE length(source) >= 30), x AS (SELECT source, count(*) AS n, min(translation) AS first FROM d GROUP BY source HAVING count(*) > 1) SELECT x.source, n, first, min(d.translation) AS second, levenshtein(left(first, 200), left(min(d.translation), 200)) AS distance FROM x JOIN d ON d.source = x.source AND d.translation > first GROUP BY x.source, n, first ORDER BY x.source LIMIT 500"))
+_SAID = "'A text of the source ' || source || ' written in ' || lang || ' by ' || cast(n_chars % 7 AS varchar(9))"
+
+
+@query(f"WITH d AS (SELECT DISTINCT {_SAID} AS source, md5(text) AS translation FROM documents), x AS (SELECT source, count(*) AS n, min(translation) AS first FROM d GROUP BY source HAVING count(*) > 1) SELECT x.source, n, first, min(d.translation) AS second, levenshtein(left(first, 200), left(min(d.translation), 200)) AS distance FROM x JOIN d ON d.source = x.source AND d.translation > first GROUP BY x.source, n, first ORDER BY x.source LIMIT 500")
 def tm_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memory.inconsistent(pairs(spark, sf_dir)).select("source", "n", "first", "second", F.col("distance").cast("bigint").alias("distance"))
+    entries = read(spark, sf_dir, "documents").selectExpr(f"{_SAID} AS source", "md5(text) AS translation")
+    return memory.inconsistent(entries).select("source", "n", "first", "second", F.col("distance").cast("bigint").alias("distance"))
 
 
 @query("WITH p AS (SELECT q.vec_id AS query_id, v.vec_id AS entry_id, 1 / (1 + list_distance(q.embedding::double[], v.embedding::double[]) ** 2) AS s FROM embeddings q JOIN embeddings v ON q.label = v.label WHERE q.vec_id % 20 = 0) SELECT query_id, entry_id, round(s, 5) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, entry_id) AS rn FROM p WHERE s >= 0.3) WHERE rn <= 5")
