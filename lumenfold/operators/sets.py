@@ -61,21 +61,32 @@ def same_rendering(units: DataFrame, source: str, rendered: str, least_length: i
     return rows.join(shared.select("__k"), "__k", "left_semi").drop("__k")
 
 
+#: Shares that a stratum's rows are dealt out into before the first of each are ranked together.
+SHARES = 64
+
+
+def _first_of_each(rows: DataFrame, by: tuple[str, ...], order: tuple[str, ...], most: Column) -> DataFrame:
+    """rows with __rn, their rank within ``by``, up to ``most``: the first of each share are found first, so that no task ranks a
+    whole stratum. order ends with a hash, whose value deals the rows out."""
+    dealt = rows.withColumn("__s", F.pmod(F.xxhash64(order[-1]), F.lit(SHARES)))
+    near = dealt.withColumn("__rn", F.row_number().over(W.partitionBy(*by, "__s").orderBy(*order))).filter(F.col("__rn") <= most).drop("__rn", "__s")
+    return near.withColumn("__rn", F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col("__rn") <= most)
+
+
 def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """About n rows: max(1, floor(n * share)) of each stratum, the first by md5(key|seed), which any engine computes alike."""
     sizes = rows.groupBy(stratum).agg(F.count("*").alias("__n"))
     total = F.sum("__n").over(W.partitionBy())
     quotas = sizes.select(stratum, F.greatest(F.lit(1), F.floor(F.lit(n) * F.col("__n") / total)).alias("__quota"))
-    ordered = rows.withColumn("__h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))))
-    ranked = ordered.withColumn("__rn", F.row_number().over(W.partitionBy(stratum).orderBy("__h", key)))
-    return ranked.join(F.broadcast(quotas), stratum).filter(F.col("__rn") <= F.col("__quota")).drop("__h", "__rn", "__quota")
+    ordered = rows.withColumn("__h", F.concat(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), F.col(key).cast("string"))).join(F.broadcast(quotas), stratum)
+    return _first_of_each(ordered, (stratum,), ("__h",), F.col("__quota")).drop("__h", "__rn", "__quota").select(*rows.columns)
 
 
 def interleaved_sample(rows: DataFrame, strata: tuple[str, ...], key: str, n: int, forced: Column | None = None, seed: int = 0) -> DataFrame:
     """n rows, one of each stratum in turn by sha256(seed:key), those that are forced first."""
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
     first = F.lit(1) if forced is None else F.when(forced, 0).otherwise(1)
-    out = rows.withColumn("__f", first).withColumn("__h", h).withColumn("__rn", F.row_number().over(W.partitionBy(*strata).orderBy("__f", "__h")))
+    out = _first_of_each(rows.withColumn("__f", first).withColumn("__h", h), strata, ("__f", "__h"), F.lit(n))
     return out.orderBy("__f", "__rn", *strata, "__h").limit(n).drop("__f", "__h", "__rn")
 
 
