@@ -201,16 +201,18 @@ def attempts(found: DataFrame, key: str, scratch: Scratch) -> DataFrame | None:
     every = scratch.put("entities", found.groupBy("kind", "canon").agg(F.min("raw").alias("raw")).withColumn("attempt", F.lit(0)))
     own, turn = every.select("kind", F.col("canon").alias("new"), F.lit(1).alias("real")), 0
     while True:
-        tried = every.withColumn("new", canonical(F.col("kind"), surrogate(F.col("kind"), F.col("raw"), F.col("canon"), F.col("attempt"), key)))
+        # written down, so that the surrogates are made once for the joins that follow
+        tried = scratch.put(f"tried-{turn}", every.withColumn("new", canonical(F.col("kind"), surrogate(F.col("kind"), F.col("raw"), F.col("canon"), F.col("attempt"), key))))
         first = tried.groupBy("kind", "new").agg(F.min(F.struct("attempt", "canon")).alias("first"), F.count("*").alias("n"))
         bad = first.join(own, ["kind", "new"], "left").filter("n > 1 or real is not null").select("kind", "new", F.when(F.col("real").isNull(), F.col("first.canon")).alias("stays"))
-        bad = tried.join(bad, ["kind", "new"]).filter("stays is null or canon <> stays").select("kind", "canon", F.lit(1).alias("again"))
+        bad = scratch.put(f"bad-{turn}", tried.join(bad, ["kind", "new"]).filter("stays is null or canon <> stays").select("kind", "canon", F.lit(1).alias("again")))
         if bad.isEmpty():
             break
         turn += 1
         if turn > ROUNDS:
             raise ValueError(f"no distinct surrogates after {ROUNDS} attempts: a type has more entities than surrogates")
-        every = scratch.put(f"attempt-{turn}", every.join(bad, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again"))
+        every = tried.drop("new").join(bad, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again")
+    every = tried.drop("new")
     return every.filter("attempt > 0").select("kind", "canon", "attempt") if turn else None
 
 
