@@ -78,11 +78,16 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def largest_count(values: Column) -> Column:
-    """How often the most frequent element occurs: the longest run of the sorted array."""
-    step = lambda s, v: F.struct(F.greatest(s["best"], F.when(s["last"] == v, s["run"] + 1).otherwise(1)).alias("best"), F.when(s["last"] == v, s["run"] + 1).otherwise(1).alias("run"), v.alias("last"))
-    start = F.struct(F.lit(0).alias("best"), F.lit(0).alias("run"), F.lit("").alias("last"))
-    return F.aggregate(F.array_sort(values), start, step)["best"]
+def ngram_hashes(words: Column, n: int) -> Column:
+    """64-bit hashes of the runs of n words, for counting; none if there are fewer."""
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n))))).otherwise(F.array().cast("array<bigint>"))
+
+
+def largest_count(values: Column, hashed: bool = False) -> Column:
+    """How often the most frequent element occurs: the longest run of the sorted array. hashed: the elements are 64-bit hashes."""
+    step = lambda s, v: let(F.when(s["last"] == v, s["run"] + 1).otherwise(1), lambda run: F.struct(F.greatest(s["best"], run).alias("best"), run.alias("run"), v.alias("last")))
+    start = F.struct(F.lit(0).alias("best"), F.lit(0).alias("run"), (F.lit(0).cast("bigint") if hashed else F.lit("")).alias("last"))
+    return F.aggregate(F.sort_array(values), start, step)["best"]
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.functions.text import SCRIPT_OF, SCRIPTS, largest_count, let, letters, ngrams, ratio, tokens
+from lumenfold.functions.text import SCRIPT_OF, SCRIPTS, largest_count, let, letters, ngram_hashes, ratio, tokens
 
 ISSUES = "array<struct<validator:string,severity:string,message:string>>"
 Check = Callable[[Column, Column], Column]
@@ -127,7 +127,7 @@ def script_mixing(t: Column, lang: str, most: float = 0.06) -> Column:
 
 def repetition(s: Column, t: Column) -> Column:
     """A run of three words occurs more often than the source's own runs allow."""
-    most = lambda text, least: let(tokens(text), lambda w: F.when(F.size(w) >= least, largest_count(ngrams(w, 3))).otherwise(0))
+    most = lambda text, least: let(tokens(text), lambda w: F.when(F.size(w) >= least, largest_count(ngram_hashes(w, 3), True)).otherwise(0))
 
     def judged(x: Column) -> Column:
         high, low = F.greatest(F.lit(3), F.floor(1.5 * x["ceiling"]).cast("int") + 1), F.greatest(F.lit(2), F.floor(1.2 * x["ceiling"]).cast("int") + 1)

@@ -126,7 +126,7 @@ _TOKENS = "list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{M}\
 @query(f"WITH w AS (SELECT doc_id, {_TOKENS} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) AS g FROM w WHERE len(w) >= 3) SELECT doc_id, cast(max(n) AS bigint) AS most FROM (SELECT doc_id, g, count(*) AS n FROM g GROUP BY doc_id, g) GROUP BY doc_id")
 def ngram_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = read(spark, sf_dir, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w")).filter("size(w) >= 3")
-    return words.select("doc_id", tx.largest_count(tx.ngrams(F.col("w"), 3)).cast("bigint").alias("most"))
+    return words.select("doc_id", tx.largest_count(tx.ngram_hashes(F.col("w"), 3), True).cast("bigint").alias("most"))
 
 
 @query(f"WITH w AS (SELECT doc_id, {_TOKENS} AS l, unnest({_TOKENS}) AS w FROM documents) SELECT doc_id, w AS word, n, round(n / total, 6) AS share FROM (SELECT doc_id, w, count(*) AS n, any_value(len(l)) AS total, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, w) AS rn FROM w GROUP BY doc_id, w) WHERE rn <= 5 AND total >= 10 AND n / total > 0.2")
